@@ -53,9 +53,10 @@ def matchable_names(names: Iterable[str], include_unmatchable: bool = False) ->
     """Names that a title-cased mention can equal.
 
     A name such as ``UK`` is not its own title case, so the membership rule
-    never finds it; ``include_unmatchable`` keeps it anyway.
+    never finds it; ``include_unmatchable`` keeps it anyway. A mention has no
+    space around it, so neither has a name that can match.
     """
-    kept = dict.fromkeys(n for n in names if n)
+    kept = dict.fromkeys(n for n in names if n and n == n.strip())
     return [n for n in kept if include_unmatchable or n == n.title()]
 
 

@@ -30,10 +30,12 @@ _LEAVES = (
     "PMID|Year|ArticleTitle|LastName|ForeName|Initials|Affiliation|Identifier"
     "|DescriptorName|Keyword"
 )
-# A comment is dropped, a CDATA section (group 1) is kept.
-_COMMENT = r"(?s)(<!\[CDATA\[.*?\]\]>)|<!--.*?-->"
-# A leaf with child markup: keep only the text before the first child.
-_MIXED = rf"(?s)<({_LEAVES})((?:\s[^>]*[^>/])?)>([^<]*)<(?![/!]).*?</\1\s*>"
+# A leaf with child markup: keep only the text (with comments and CDATA
+# sections) before the first child. Possessive, so it never backtracks.
+_MIXED = (
+    rf"(?s)<({_LEAVES})((?:\s[^>]*+(?<!/))?+)>"
+    r"((?:[^<]++|<!--.*?-->|<!\[CDATA\[.*?\]\]>)*+)<(?![/!]).*?</\1\s*>"
+)
 
 MISSING_POLICIES = ("null", "empty", "strict")
 YEAR_SOURCES = ("revised", "published", "mixed")
@@ -45,7 +47,7 @@ def parse_records(records: DataFrame, column: str = "record", fail_fast: bool =
     A record that is no well-formed XML keeps its text in ``_malformed`` and
     yields null fields, or fails the job with ``fail_fast``.
     """
-    text = F.regexp_replace(F.regexp_replace(column, _COMMENT, "$1"), _MIXED, "<$1$2>$3</$1>")
+    text = F.regexp_replace(column, _MIXED, "<$1$2>$3</$1>")
     options = {"ignoreSurroundingSpaces": "false", "columnNameOfCorruptRecord": "_malformed"}
     if fail_fast:
         options["mode"] = "FAILFAST"

@@ -59,7 +59,7 @@ def tag_from_dictionary(
     Distinct texts are cut into runs of 1 to n words, n being the longest name;
     runs that are in the dictionary stay, the one that ends last wins.
     """
-    known = names.where("name <> ''")
+    known = names.where(r"name <> '' AND NOT name RLIKE '^\\s|\\s$'")
     if not include_unmatchable:
         known = known.where(F.col("name") == title_case(F.col("name")))
     known = known.select(F.lower("name").alias("_known")).distinct()
@@ -67,13 +67,17 @@ def tag_from_dictionary(
         F.max(F.size(F.regexp_extract_all("_known", F.lit(_TOKEN), F.lit(0)))).alias("n")
     ).first()["n"]
     texts = df.where(F.col(column).isNotNull()).select(F.col(column).alias("_text")).distinct()
-    tokens = texts.withColumn("_tokens", F.regexp_extract_all("_text", F.lit(_TOKEN), F.lit(0)))
+    # Spread by count, not by bytes: each text becomes many runs.
+    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    tokens = texts.repartition(partitions, "_text").withColumn("_tokens", F.regexp_extract_all("_text", F.lit(_TOKEN), F.lit(0)))
     runs = tokens.select(
         "_text",
         F.explode(
             F.expr(
-                "flatten(transform(sequence(1, size(_tokens)), e -> "
-                f"transform(sequence(1, least(e, {longest or 1})), n -> struct(e as stop, n as n, "
+                "flatten(transform("
+                "filter(sequence(1, size(_tokens)), e -> get(_tokens, e - 1) <> ' '), e -> transform("
+                f"filter(sequence(1, least(e, {longest or 1})), n -> get(_tokens, e - n) <> ' '), "
+                "n -> struct(e as stop, n as n, "
                 "concat_ws('', slice(_tokens, e - n + 1, n)) as run))))"
             )
         ).alias("_r"),

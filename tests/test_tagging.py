@@ -1,0 +1,137 @@
+"""Text extraction and tagging."""
+
+import re
+
+import pytest
+from pyspark.sql import functions as F
+
+from citeloom.functions import text
+from citeloom.functions.fixed import EMAIL_PATTERN, WORLD_COUNTRIES, ZIPCODE_PATTERN
+from citeloom.operators import tagging
+from citeloom.operators.flatten import with_computed_columns, with_contact_columns
+
+AFFILIATIONS = [
+    "Dept, Harbor University, Paris, France. a.b+c@x-y.co.uk and second@z.org",
+    "no mail here",
+    "broken@mail and good_1@ok.io.",
+    "a@b@c.de",
+    "@@ x@.com x@y.c",
+    "Box 12345",
+    "Box 12345-6789, 99999",
+    "E1W 3A London",
+    "M5G 1X8 Toronto",
+    "code k1a0b here",
+    "é12345 x123456 12345é ١٢٣٤٥",
+    "12345-67890",
+    "",
+    None,
+    "x" * 4000 + " q@r.st",
+]
+
+
+def values(spark, rows, column):
+    df = spark.createDataFrame([(i, r) for i, r in enumerate(rows)], "id int, affiliation string")
+    return [r.v for r in df.select("id", column.alias("v")).orderBy("id").collect()]
+
+
+def first(pattern, value, flags=0):
+    found = None if value is None else re.search(pattern, value, flags)
+    return found and found.group(0)
+
+
+def test_contact_columns(spark):
+    got = values(spark, AFFILIATIONS, text.email(F.col("affiliation")))
+    assert got == [first(EMAIL_PATTERN, a) for a in AFFILIATIONS]
+    got = values(spark, AFFILIATIONS, text.zipcode(F.col("affiliation")))
+    assert got == [first(ZIPCODE_PATTERN, a, re.IGNORECASE) for a in AFFILIATIONS]
+    got = values(spark, ["A9 x"], text.zipcode(F.col("affiliation"), r"\ba\d\b"))
+    assert got == ["A9"]
+
+
+def test_title_case(spark):
+    words = ["guinea-bissau", "PAPUA new guinea", "o'neil 3rd", "é élan", "", "Myanmar, {burma}", "UK"]
+    assert values(spark, words, text.title_case(F.col("affiliation"))) == [w.title() for w in words]
+
+
+COUNTRY_CASES = [
+    ("Paris, France and Berlin, Germany", "Germany"),
+    ("Port Moresby, Papua New Guinea", "Papua New Guinea"),
+    ("x, Guinea-Bissau.", "Guinea-Bissau"),
+    ("x, PERU", "PERU"),
+    ("x, peru 12345", "peru"),
+    ("London, UK", None),
+    ("Nigeria", "Nigeria"),
+    ("Niger", "Niger"),
+    ("Nigerian town", None),
+    ("sub-Chad", None),
+    ("Congo {Democratic Rep}", "Congo {Democratic Rep}"),
+    ("Congo, Yemen; South Sudan", "South Sudan"),
+    ("The Netherlands", "The Netherlands"),
+    ("in the netherlands (x)", "the netherlands"),
+    ("Korea, North", None),
+    ("Guinea Papua New", "Guinea"),
+    (None, None),
+    ("", None),
+]
+
+
+@pytest.mark.parametrize("by_join", [False, True])
+def test_country_is_last_mention(spark, by_join):
+    df = spark.createDataFrame(
+        [(i, a) for i, (a, _) in enumerate(COUNTRY_CASES)], "id int, affiliation string"
+    )
+    names = spark.createDataFrame([(c,) for c in WORLD_COUNTRIES + ["", " Japan"]], "name string")
+    if by_join:
+        tagged = tagging.tag_from_dictionary(df, names)
+    else:
+        tagged = tagging.tag_countries(df, names)
+    got = {r.id: r.country for r in tagged.collect()}
+    assert got == {i: c for i, (_, c) in enumerate(COUNTRY_CASES)}
+
+
+def test_unmatchable_names(spark):
+    assert text.matchable_names(["UK", "Peru", "", "Peru", "Peru "]) == ["Peru"]
+    assert text.matchable_names(["UK"], True) == ["UK"]
+    got = values(spark, ["x, uk."], text.last_mention(F.col("affiliation"), ["UK"], True))
+    assert got == ["uk"]
+    assert values(spark, ["x"], text.last_mention(F.col("affiliation"), [])) == [None]
+
+
+def test_long_list_takes_the_join(spark, monkeypatch):
+    monkeypatch.setattr(tagging, "MAX_INLINE_NAMES", 10)
+    df = spark.createDataFrame([("Lima, Peru",)], "affiliation string")
+    names = spark.createDataFrame([(c,) for c in WORLD_COUNTRIES], "name string")
+    tagged = tagging.tag_countries(df, names)
+    assert "Join" in tagged._jdf.queryExecution().toString()
+    assert tagged.first().country == "Peru"
+
+
+def test_country_tag_needs_no_shuffle(spark):
+    df = spark.createDataFrame([("Lima, Peru",)], "affiliation string")
+    plan = tagging.tag_countries(df)._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Python" not in plan
+
+
+def test_institutions(spark):
+    rows = [
+        "Dept of X ,  Harbor UNIVERSITY ; Saint Hospital, Peru",
+        "Centre for Y",
+        "no keyword, here",
+        None,
+        "Heart Center; medical laboratory.",
+    ]
+    assert values(spark, rows, text.first_institution(F.col("affiliation"))) == [
+        "Harbor UNIVERSITY", "Centre for Y", None, None, "Heart Center",
+    ]
+    assert values(spark, rows, text.institution_mentions(F.col("affiliation"))) == [
+        ["Harbor UNIVERSITY", "Saint Hospital"], ["Centre for Y"], None, None,
+        ["Heart Center", "medical laboratory."],
+    ]
+
+
+def test_computed_columns(spark):
+    df = spark.createDataFrame([("a@b.cd 12345",)], "affiliation string")
+    row = with_computed_columns(
+        with_contact_columns(df), {"n": F.length("affiliation"), "zipcode": F.lit("z")}
+    ).first()
+    assert (row.author_email, row.zipcode, row.n) == ("a@b.cd", "z", 12)

@@ -49,7 +49,7 @@ def _files(spark: SparkSession, sf_dir: str) -> str:
 
 
 def email_extract(spark, sf_dir):
-    documents = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    documents = view.table(spark, sf_dir, "documents", "doc_id")
     return with_contact_columns(documents, "text").select(
         "doc_id", F.col("author_email").alias("email")
     )
@@ -222,7 +222,7 @@ def fuzzy_best(spark, sf_dir):
 
 
 def fuzzy_supplier_names(spark, sf_dir):
-    supplier = spark.read.parquet(f"{sf_dir}/supplier.parquet")
+    supplier = view.table(spark, sf_dir, "supplier")
     spoiled = supplier.selectExpr(
         "s_suppkey",
         "substr(s_name, 1, 9 + int(s_suppkey % 9)) || 'x' || substr(s_name, 11 + int(s_suppkey % 9))"
@@ -284,7 +284,7 @@ def alias_scan(spark, sf_dir):
 
 
 def latest_snapshot(spark, sf_dir):
-    events = spark.read.parquet(f"{sf_dir}/events.parquet")
+    events = view.table(spark, sf_dir, "events")
     newest = F.struct(F.col("ts"), -F.col("event_id"))
     return events.groupBy("event_type").agg(
         F.max_by("event_id", newest).alias("event_id"), F.max_by("value", newest).alias("value")

@@ -82,12 +82,27 @@ def _with(step: dict[str, str]) -> str:
     return ", ".join(f"{e} AS {name}" for name, e in step.items())
 
 
+def table(spark: SparkSession, sf_dir: str, name: str, *spread_by: str) -> DataFrame:
+    """A supplied table; one that is read by too few tasks is spread by its keys.
+
+    The supplied files hold one row group each and would otherwise keep a whole
+    query in one task. A table with a task per core is left as it is.
+    """
+    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    cores = spark.sparkContext.defaultParallelism
+    if spread_by and df.rdd.getNumPartitions() < cores:
+        df = df.repartition(cores, *spread_by)
+    return df
+
+
 def base(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per line item with everything an article is made of."""
-    t = {n: spark.read.parquet(f"{sf_dir}/{n}.parquet").alias(n[0])
-         for n in ("lineitem", "orders", "part", "supplier", "customer")}
+    t = {n: table(spark, sf_dir, n).alias(n[0]) for n in ("orders", "part", "supplier", "customer")}
+    lines = table(
+        spark, sf_dir, "lineitem", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"
+    )
     joined = (
-        t["lineitem"]
+        lines.alias("l")
         .join(t["orders"], F.expr("l.l_orderkey = o.o_orderkey"))
         .join(t["part"], F.expr("l.l_partkey = p.p_partkey"))
         .join(t["supplier"], F.expr("l.l_suppkey = s.s_suppkey"))
@@ -223,7 +238,7 @@ flat AS (
 
 def institutes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """grid_id, name, ordinal: four names per supplier, some of them twice."""
-    supplier = spark.read.parquet(f"{sf_dir}/supplier.parquet")
+    supplier = table(spark, sf_dir, "supplier")
     named = supplier.selectExpr("s_suppkey AS s", "explode(array(0, 1, 2, 3)) AS kind").selectExpr(
         "s", "kind", f"{_name(_pick('kind', KINDS), 's')} AS name",
         "explode(CASE WHEN s % 10 = 0 THEN array(0, 1) ELSE array(0) END) AS again",
@@ -237,7 +252,7 @@ def institutes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def aliases(spark: SparkSession, sf_dir: str) -> DataFrame:
     """grid_id, alias, ordinal: an alias for every fifth supplier, given twice."""
-    supplier = spark.read.parquet(f"{sf_dir}/supplier.parquet").where("s_suppkey % 5 = 0")
+    supplier = table(spark, sf_dir, "supplier").where("s_suppkey % 5 = 0")
     return supplier.selectExpr("s_suppkey AS s", "explode(array(0, 1)) AS again").selectExpr(
         f"CASE again WHEN 0 THEN 'grid.a' ELSE 'grid.b' END || {_text('s')} AS grid_id",
         f"'Alias Hospital ' || {_text('s')} AS alias",
