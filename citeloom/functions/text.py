@@ -84,20 +84,27 @@ def last_mention(text: Column, names: Iterable[str], include_unmatchable: bool =
     return F.reverse(F.regexp_substr(F.reverse(text), F.lit(pattern)))
 
 
-def segments(text: Column) -> Column:
-    """Comma or semicolon separated pieces, trimmed."""
-    return F.transform(F.split(text, r"[,;]"), lambda s: F.regexp_replace(s, r"^\s+|\s+$", ""))
+def _segment_pattern(keywords: Sequence[str]) -> str:
+    """A comma or semicolon separated segment that contains a keyword.
+
+    Only a segment's first position can start a match, so each is read once.
+    """
+    words = "|".join(re.escape(k) for k in keywords)
+    return rf"(?i)(?<![^,;])[^,;]*?(?:{words})[^,;]*"
+
+
+def _trimmed(segment: Column) -> Column:
+    return F.regexp_replace(segment, r"^\s+|\s+$", "")
 
 
 def institution_mentions(
     text: Column, keywords: Sequence[str] = INSTITUTION_KEYWORDS
 ) -> Column:
     """Segments that contain a keyword, in order; null when there is none."""
-    pattern = "(?i)" + "|".join(re.escape(k) for k in keywords)
-    found = F.filter(segments(text), lambda s: s.rlike(pattern))
-    return F.when(F.size(found) > 0, found)
+    found = F.regexp_extract_all(text, F.lit(_segment_pattern(keywords)), F.lit(0))
+    return F.nullif(F.transform(found, _trimmed), F.array().cast("array<string>"))
 
 
 def first_institution(text: Column, keywords: Sequence[str] = INSTITUTION_KEYWORDS) -> Column:
     """First segment that contains a keyword, null when there is none."""
-    return F.get(institution_mentions(text, keywords), F.lit(0))
+    return _trimmed(F.regexp_substr(text, F.lit(_segment_pattern(keywords))))

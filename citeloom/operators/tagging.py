@@ -69,7 +69,7 @@ def tag_from_dictionary(
     texts = df.where(F.col(column).isNotNull()).select(F.col(column).alias("_text")).distinct()
     # Spread by count, not by bytes: each text becomes many runs.
     partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    tokens = texts.repartition(partitions, "_text").withColumn("_tokens", F.regexp_extract_all("_text", F.lit(_TOKEN), F.lit(0)))
+    tokens = texts.repartition(partitions, F.xxhash64("_text")).withColumn("_tokens", F.regexp_extract_all("_text", F.lit(_TOKEN), F.lit(0)))
     runs = tokens.select(
         "_text",
         F.explode(

@@ -1,0 +1,202 @@
+"""Drops, sinks, whole runs and incremental runs on a small file set."""
+
+import csv
+import glob
+import os
+from datetime import datetime
+
+import pytest
+
+from citeloom.operators.row_index import with_row_index
+from citeloom.plans import pipeline
+from citeloom.sinks.csv_sink import run_path, run_stamp, show, write_csv
+from citeloom.sources.drops import latest_path
+from citeloom.sources.records import scan_records
+from citeloom.sources.staged import read_staged_csv, shared_folder, write_stage
+from citeloom.streaming.ingest import ingest_new_files
+
+
+def record(pmid, *authors):
+    people = "".join(
+        f"<Author><LastName>{last}</LastName><ForeName>{fore}</ForeName>"
+        + "".join(f"<AffiliationInfo><Affiliation>{a}</Affiliation></AffiliationInfo>" for a in places)
+        + "</Author>"
+        for fore, last, places in authors
+    )
+    return (
+        f"<PubmedArticle><MedlineCitation><PMID>{pmid}</PMID><DateRevised><Year>2021</Year></DateRevised>"
+        f"<Article><ArticleTitle>T{pmid}</ArticleTitle><AuthorList>{people}</AuthorList></Article>"
+        "<KeywordList><Keyword>it's</Keyword><Keyword/></KeywordList></MedlineCitation></PubmedArticle>"
+    )
+
+
+ONE = record(
+    1,
+    ("Ann", "Li", ["Dept of X, Harbor Universityy, Lima, Peru 12345. a@b.cd", "Saint Hospital; France"]),
+    ("Bo", "Ek", []),
+)
+TWO = record(2, ("Cy", "Oh", ["Harbor Uni, Old Centre, UK"]))
+
+
+def wrap(*records):
+    return "<PubmedArticleSet>\n" + "\n".join(records) + "\n</PubmedArticleSet>"
+
+
+def rows_of(df):
+    return {(r.pmid, r.affiliation): r for r in df.collect()}
+
+
+@pytest.fixture(scope="module")
+def dictionaries(spark):
+    institutes = spark.createDataFrame(
+        [("grid.1", "Harbor University", 0), ("grid.2", "Saint Hospital", 1)],
+        "grid_id string, name string, ordinal int",
+    )
+    aliases = spark.createDataFrame(
+        [("grid.3", "Old Centre", 0)], "grid_id string, alias string, ordinal int"
+    )
+    return institutes, aliases
+
+
+@pytest.fixture
+def drop(tmp_path):
+    folder = tmp_path / "drop"
+    folder.mkdir()
+    for name, body, age in (
+        ("b.xml", wrap(ONE, TWO), 100), ("c.xml", wrap(TWO), 100), ("old.xml", wrap(), 500), ("z.txt", "", 1),
+    ):
+        (folder / name).write_text(body)
+        os.utime(folder / name, (1_700_000_000 - age, 1_700_000_000 - age))
+    return str(folder)
+
+
+def test_latest_file(spark, drop, tmp_path):
+    assert latest_path(spark, drop).endswith("/b.xml")
+    (tmp_path / "none").mkdir()
+    with pytest.raises(FileNotFoundError):
+        latest_path(spark, str(tmp_path / "none"))
+
+
+def test_run(spark, drop, dictionaries):
+    got = rows_of(pipeline.run(spark, f"{drop}/b.xml", *dictionaries))
+    first = got[("1", "Dept of X, Harbor Universityy, Lima, Peru 12345. a@b.cd")]
+    assert (first.author_email, first.zipcode, first.country) == ("a@b.cd", "12345", "Peru")
+    assert (first.institutions, first.grid_institutions) == ("Harbor Universityy", "Harbor University")
+    assert (first.full_name, first.identity, first.keyword_list) == ("Ann Li", "grid.1", ["it's", None])
+    second = got[("1", "Saint Hospital; France")]
+    assert (second.country, second.identity, second.author_email) == ("France", "grid.2", None)
+    third = got[("2", "Harbor Uni, Old Centre, UK")]
+    assert (third.institutions, third.grid_institutions, third.identity) == ("Old Centre", None, "grid.3")
+    assert third.country is None
+    assert len(got) == 3
+
+
+def test_run_options(spark, drop, dictionaries):
+    event = rows_of(pipeline.run(spark, f"{drop}/b.xml", *dictionaries, options=pipeline.EVENT_DRIVEN))
+    assert event[("2", "Harbor Uni, Old Centre, UK")].identity is None
+    capped = pipeline.run(spark, f"{drop}/b.xml", *dictionaries, options=pipeline.Options(cap=1))
+    assert {r.pmid for r in capped.collect()} == {"1"}
+    for scorer in ("ratio", "partial"):
+        got = pipeline.run(
+            spark, f"{drop}/b.xml", *dictionaries, options=pipeline.Options(scorer=scorer)
+        )
+        row = rows_of(got)[("1", "Dept of X, Harbor Universityy, Lima, Peru 12345. a@b.cd")]
+        assert row.grid_institutions == "Harbor University"
+
+
+def test_run_latest_writes_stamped_csv(spark, drop, dictionaries, tmp_path):
+    path = pipeline.run_latest(spark, drop, str(tmp_path / "out"), *dictionaries)
+    assert os.path.basename(path).startswith("processed_article_data_2")
+    back = read_staged_csv(
+        spark, path,
+        ["title", "pmid", "year", "keyword_list", "mesh_list", "forename", "lastname", "full_name",
+         "initials", "identity", "affiliation", "author_email", "zipcode", "country", "institutions",
+         "grid_institutions"],
+        ("keyword_list", "mesh_list"),
+    )
+    got = rows_of(back)
+    assert len(got) == 3
+    assert got[("1", "Saint Hospital; France")].keyword_list == ["it's", None]
+    assert got[("1", "Saint Hospital; France")].mesh_list == []
+
+
+def test_stamp():
+    when = datetime(2024, 3, 5, 7, 8, 9)
+    assert run_stamp(when) == "2024-03-05_07-08-09"
+    assert run_path("/x/", run_stamp(when)) == "/x/processed_article_data_2024-03-05_07-08-09"
+
+
+def test_csv_text(spark, tmp_path, capsys):
+    df = spark.createDataFrame(
+        [(2, 'say "hi", ok', ["it's", 'q"', "both'\"", None, "a\\b"]), (1, None, []), (3, " x ", None)],
+        "id int, t string, l array<string>",
+    )
+    write_csv(df, str(tmp_path / "p"), "python", index_order=("id",))
+    rows = []
+    for part in glob.glob(str(tmp_path / "p" / "*.csv")):
+        with open(part, newline="") as f:
+            rows += list(csv.reader(f))
+    assert rows[0][1:] == ["id", "t", "l"] and rows[0][0].strip() == ""
+    body = sorted(r for r in rows if r[1] != "id")
+    assert body == [
+        ["0", "1", "", "[]"],
+        ["1", "2", 'say "hi", ok', str(["it's", 'q"', "both'\"", None, "a\\b"])],
+        ["2", "3", " x ", ""],
+    ]
+    with pytest.raises(ValueError):
+        write_csv(df, str(tmp_path / "q"), "yaml")
+    show(df, 1)
+    assert "id" in capsys.readouterr().out
+
+
+def test_row_index_is_contiguous(spark):
+    df = spark.range(5000).selectExpr("(id * 7919) % 5000 AS v").repartition(7)
+    got = with_row_index(df, "v").collect()
+    assert sorted(got) == sorted((v, v) for v in range(5000))
+
+
+def test_staged_run(spark, dictionaries, tmp_path):
+    records = spark.createDataFrame([(ONE,), (TWO,)], "record string")
+    paths = pipeline.StagePaths.under(str(tmp_path / "stages"))
+    got = rows_of(pipeline.run_staged(records, dictionaries[0], paths))
+    first = got[("1", "Dept of X, Harbor Universityy, Lima, Peru 12345. a@b.cd")]
+    assert first.institutions == ["Harbor Universityy"]
+    assert first.grid_institutions == ["Harbor University"]
+    assert first.grid_institution_names == "Harbor University"
+    third = got[("2", "Harbor Uni, Old Centre, UK")]
+    assert (third.grid_institutions, third.grid_institution_names) == ([None], None)
+    assert spark.read.parquet(paths.flat).count() == 3
+
+
+def test_incremental_runs_take_only_new_files(spark, dictionaries, tmp_path):
+    source, out, progress = (tmp_path / n for n in ("in", "out", "progress"))
+    source.mkdir()
+
+    def ingest():
+        query = ingest_new_files(
+            spark, str(source), str(out), str(progress), *dictionaries, output="parquet"
+        )
+        query.awaitTermination()
+        return spark.read.parquet(f"{out}/*").count()
+
+    (source / "a.xml").write_text(wrap(ONE))
+    assert ingest() == 2
+    assert ingest() == 2
+    (source / "b.xml").write_text(wrap(TWO))
+    (source / "c.txt").write_text(wrap(TWO))
+    assert ingest() == 3
+    with pytest.raises(ValueError):
+        ingest_new_files(spark, "x", "y", "z", *dictionaries, output="xml")
+    with pytest.raises(ValueError):
+        ingest_new_files(spark, "x", "y", "z", *dictionaries, options=pipeline.Options(cap=5))
+
+
+def test_stage_is_read_back(spark, tmp_path):
+    df = spark.createDataFrame([(1, ["a", None])], "id int, l array<string>")
+    back = write_stage(df, str(tmp_path / "stage"))
+    assert back.collect() == df.collect()
+    assert shared_folder(spark) == spark.conf.get("spark.checkpoint.dir")
+
+
+def test_scan_of_a_folder(spark, drop):
+    assert scan_records(spark, drop).count() == 3
