@@ -9,9 +9,10 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from citeloom.functions.columns import once
 from citeloom.functions.fixed import INSTITUTION_KEYWORDS, WORLD_COUNTRIES
 from citeloom.functions.text import (
     first_institution,
@@ -27,6 +28,11 @@ MAX_INLINE_NAMES = 2_000
 _TOKEN = r"[\p{L}\p{N}_-]+|[^\p{L}\p{N}_-]"
 
 
+def _tagged(df: DataFrame, tag: Column, output: str) -> DataFrame:
+    # Tags are filtered, hashed and joined on later; each is computed once.
+    return df.select(*(c for c in df.columns if c != output), once(tag, output))
+
+
 def tag_countries(
     df: DataFrame,
     countries: DataFrame | Iterable[str] = tuple(WORLD_COUNTRIES),
@@ -44,7 +50,7 @@ def tag_countries(
         if len(head) > MAX_INLINE_NAMES:
             return tag_from_dictionary(df, countries, column, output, include_unmatchable)
         countries = [r["name"] for r in head]
-    return df.withColumn(output, last_mention(F.col(column), countries, include_unmatchable))
+    return _tagged(df, last_mention(F.col(column), countries, include_unmatchable), output)
 
 
 def tag_from_dictionary(
@@ -94,7 +100,7 @@ def tag_first_institution(
     keywords: tuple[str, ...] = INSTITUTION_KEYWORDS,
 ) -> DataFrame:
     """Add the first segment that holds an institution keyword, or null."""
-    return df.withColumn(output, first_institution(F.col(column), keywords))
+    return _tagged(df, first_institution(F.col(column), keywords), output)
 
 
 def tag_all_institutions(
@@ -104,4 +110,4 @@ def tag_all_institutions(
     keywords: tuple[str, ...] = INSTITUTION_KEYWORDS,
 ) -> DataFrame:
     """Add all segments that hold an institution keyword, null when none."""
-    return df.withColumn(output, institution_mentions(F.col(column), keywords))
+    return _tagged(df, institution_mentions(F.col(column), keywords), output)
