@@ -65,4 +65,18 @@ SELECT doc_id, size::BIGINT AS size, text_crc32, 'bytes' AS law, shard,
 FROM cut
 """
 
-ORACLE_SQL = {"op2_mixing": _MIXING, "op4_sharding": _SHARDING}
+_TOPK = """
+WITH whole AS (
+    SELECT vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)) AS terms
+    FROM embeddings
+    WHERE len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), ranked AS (
+    SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.terms, c.terms)::BIGINT AS score,
+           row_number() OVER (PARTITION BY q.vec_id
+                              ORDER BY list_inner_product(q.terms, c.terms) DESC, c.vec_id)::INTEGER AS rank
+    FROM whole q JOIN whole c ON q.vec_id % 20 = 0 AND q.vec_id <> c.vec_id
+)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 20
+"""
+
+ORACLE_SQL = {"op2_mixing": _MIXING, "op4_sharding": _SHARDING, "op8_topk": _TOPK}

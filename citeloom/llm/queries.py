@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from citeloom.llm import mixing, sharding
+from citeloom.llm import bpe, mixing, sharding, token_counts, topk
+
+RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -20,7 +24,23 @@ def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_by_bytes(table(spark, sf_dir, "documents"))
 
 
+def op8_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.exact_top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
+def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.count_tokens(table(spark, sf_dir, "documents"), RANKS)
+
+
+def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    codec = bpe.load_codec(RANKS, public_tokenizers.PATTERN)
+    return bpe.round_trip(table(spark, sf_dir, "documents"), codec)
+
+
 QUERIES = {
     "op2_mixing": op2_mixing,
     "op4_sharding": op4_sharding,
+    "op8_topk": op8_topk,
+    "op9_token_counts": op9_token_counts,
+    "op10_bpe": op10_bpe,
 }
