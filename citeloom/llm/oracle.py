@@ -79,4 +79,22 @@ WITH whole AS (
 SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 20
 """
 
-ORACLE_SQL = {"op2_mixing": _MIXING, "op4_sharding": _SHARDING, "op8_topk": _TOPK}
+_WARC = """
+WITH payloads AS (
+    SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha1(coalesce(html, '')) AS payload_digest
+    FROM pages
+), mains AS (
+    SELECT *, max(page_id) OVER (PARTITION BY payload_digest) AS main FROM payloads
+)
+SELECT page_id, payload_bytes::BIGINT AS payload_bytes, payload_digest,
+       CASE WHEN payload_bytes >= 1000 AND page_id <> main THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN payload_bytes >= 1000 AND page_id <> main THEN main END AS refers_to
+FROM mains
+"""
+
+ORACLE_SQL = {
+    "op2_mixing": _MIXING,
+    "op4_sharding": _SHARDING,
+    "op6_warc": _WARC,
+    "op8_topk": _TOPK,
+}

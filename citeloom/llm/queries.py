@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from citeloom.llm import bpe, embedding_dedup, mixing, sharding, simhash, token_counts, topk
+from citeloom.llm import bpe, embedding_dedup, mixing, sharding, simhash, token_counts, topk, warc
 
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 
@@ -32,6 +32,13 @@ def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    records = warc.archive_round_trip(table(spark, sf_dir, "pages"))
+    return records.select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
+    )
+
+
 def op8_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.exact_top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
 
@@ -50,6 +57,7 @@ QUERIES = {
     "op3_embedding_dedup": op3_embedding_dedup,
     "op4_sharding": op4_sharding,
     "op5_simhash": op5_simhash,
+    "op6_warc": op6_warc,
     "op8_topk": op8_topk,
     "op9_token_counts": op9_token_counts,
     "op10_bpe": op10_bpe,
