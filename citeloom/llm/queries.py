@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from citeloom.llm import bpe, embedding_dedup, mixing, sharding, simhash, token_counts, topk, warc
+from citeloom.llm import bpe, embedding_dedup, mixing, sharding, simhash, token_counts, topk, toxicity, warc
 
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 
@@ -39,6 +39,10 @@ def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op8_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.exact_top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
 
@@ -58,6 +62,7 @@ QUERIES = {
     "op4_sharding": op4_sharding,
     "op5_simhash": op5_simhash,
     "op6_warc": op6_warc,
+    "op7_toxicity": op7_toxicity,
     "op8_topk": op8_topk,
     "op9_token_counts": op9_token_counts,
     "op10_bpe": op10_bpe,
