@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from heapq import heapify, heappop, heappush
 from itertools import chain
 
@@ -15,8 +15,8 @@ from pyspark.sql import functions as F
 
 from citeloom.llm.vocabulary import read_ranks
 
-#: Stretches of text remembered by a worker before it starts anew.
-REMEMBERED = 300_000
+#: Stretches, and words, in each of the two generations that a worker remembers.
+REMEMBERED = 400_000
 #: Characters encoded at a time.
 PART = 1 << 20
 _MASK = (1 << 64) - 1
@@ -78,39 +78,51 @@ class PerfectHash:
         return self.values[slot] if self.keys[slot] == key else None
 
 
-def merge_bytes(word: bytes, ranks: dict[bytes, int]) -> list[int]:
-    """Ids of a piece that is not in the vocabulary as a whole.
+class Merges:
+    """Merges of the pieces that are not in the vocabulary as a whole.
 
-    Its bytes form a doubly linked list; a heap holds the rank of each
-    neighbouring pair that may merge, lowest rank and leftmost first. An entry
-    is stale when one of its parts has grown or gone since.
+    A piece is a doubly linked list of ids, at first of its bytes; a heap holds
+    the neighbouring pairs that may merge, lowest rank and leftmost first. An
+    entry is stale when the pair at its place has another rank by now.
     """
-    n = len(word)
-    end = list(range(1, n + 1))
-    before = list(range(-1, n - 1))
-    get = ranks.get
-    heap = [
-        (rank, i, i + 2) for i in range(n - 1) if (rank := get(word[i : i + 2])) is not None
-    ]
-    heapify(heap)
-    while heap:
-        _, i, stop = heappop(heap)
-        middle = end[i]
-        if middle < 0 or middle >= n or end[middle] != stop:
-            continue
-        end[i], end[middle] = stop, -1
-        if stop < n:
-            before[stop] = i
-            if (rank := get(word[i : end[stop]])) is not None:
-                heappush(heap, (rank, i, end[stop]))
-        left = before[i]
-        if left >= 0 and (rank := get(word[left:stop])) is not None:
-            heappush(heap, (rank, left, stop))
-    ids, i = [], 0
-    while i < n:
-        ids.append(ranks[word[i : end[i]]])
-        i = end[i]
-    return ids
+
+    def __init__(self, ranks: dict[bytes, int]) -> None:
+        self.single = [ranks[bytes([b])] for b in range(256)]
+        self.shift = max(ranks.values()).bit_length()
+        self.pairs = {
+            ranks[piece[:k]] << self.shift | ranks[piece[k:]]: rank
+            for piece, rank in ranks.items()
+            for k in range(1, len(piece))
+            if piece[:k] in ranks and piece[k:] in ranks
+        }
+
+    def ids(self, word: bytes) -> tuple[int, ...]:
+        get, shift = self.pairs.get, self.shift
+        part = [self.single[b] for b in word]
+        n = len(part)
+        after, before = list(range(1, n + 1)), list(range(-1, n - 1))
+        heap = [
+            rank << 40 | i
+            for i in range(n - 1)
+            if (rank := get(part[i] << shift | part[i + 1])) is not None
+        ]
+        heapify(heap)
+        while heap:
+            entry = heappop(heap)
+            i, rank = entry & 0xFFFFFFFFFF, entry >> 40
+            j, left = after[i], part[i]
+            if left < 0 or j >= n or get(left << shift | part[j]) != rank:
+                continue
+            part[i], part[j] = rank, -1
+            k = after[i] = after[j]
+            if k < n:
+                before[k] = i
+                if (found := get(rank << shift | part[k])) is not None:
+                    heappush(heap, found << 40 | i)
+            k = before[i]
+            if k >= 0 and (found := get(part[k] << shift | rank)) is not None:
+                heappush(heap, found << 40 | k)
+        return tuple([x for x in part if x >= 0])
 
 
 class Codec:
@@ -119,7 +131,8 @@ class Codec:
     def __init__(self, ranks: dict[bytes, int], pattern: str) -> None:
         if any(bytes([b]) not in ranks for b in range(256)):
             raise ValueError("a byte-level vocabulary holds every single byte")
-        self.ranks, self.pattern = ranks, pattern
+        self.pattern = pattern
+        self.merges = Merges(ranks)
         self.whole = PerfectHash(ranks)
         self.names = {i: str(i) for i in ranks.values()}
         self.pieces = {i: piece for piece, i in ranks.items()}
@@ -128,10 +141,12 @@ class Codec:
     def _ready(self) -> None:
         self.find = regex.compile(self.pattern).findall
         self.apart = regex.compile(r"(?<=\S)(?= )", flags=regex.V1).split
-        self.memory: dict[str, tuple[int, ...]] = _Memory(self)
+        self.loose = regex.compile(r"^ |\s ").search
+        self.memory = _Memory(self.stretch)
+        self.words = _Memory(self.merges.ids)
 
     def __getstate__(self):
-        return {k: v for k, v in self.__dict__.items() if k not in ("find", "apart", "memory")}
+        return {k: v for k, v in self.__dict__.items() if k not in ("find", "apart", "loose", "memory", "words")}
 
     def __setstate__(self, state):
         self.__dict__.update(state)
@@ -143,7 +158,7 @@ class Codec:
             data = word.encode()
             known = self.whole.get(data)
             if known is None:
-                ids += merge_bytes(data, self.ranks)
+                ids += self.words[data]
             else:
                 ids.append(known)
         return tuple(ids)
@@ -156,7 +171,11 @@ class Codec:
         text is cut there and the stretches between are encoded once each.
         """
         for part in self._parts(text):
-            stretches = self.apart(part)
+            if self.loose(part):
+                stretches = self.apart(part)
+            else:  # every space begins a stretch
+                first, *rest = part.split(" ")
+                stretches = [first, *(" " + x for x in rest)]
             yield list(chain.from_iterable(map(self.memory.__getitem__, stretches)))
 
     def _parts(self, text: str) -> Iterator[str]:
@@ -179,15 +198,21 @@ class Codec:
 
 
 class _Memory(dict):
-    def __init__(self, codec: Codec) -> None:
-        self.codec = codec
+    """Ids found before; what was not asked for among the last ``REMEMBERED`` new ones is forgotten."""
+
+    def __init__(self, find: Callable) -> None:
+        self.find = find
+        self.former: dict = {}
 
-    def __missing__(self, text: str) -> tuple[int, ...]:
-        found = self.codec.stretch(text)
-        if len(text) <= 64:
+    def __missing__(self, key):
+        found = self.former.get(key)
+        if found is None:
+            found = self.find(key)
+        if len(key) <= 64:
             if len(self) >= REMEMBERED:
+                self.former = dict(self)
                 self.clear()
-            self[text] = found
+            self[key] = found
         return found
 
 
