@@ -61,6 +61,13 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(table(spark, sf_dir, "documents"), codec)
 
 
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # The stages are a file of their own at the top of the repository.
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 QUERIES = {
     "op1_suffix_dedup": op1_suffix_dedup,
     "op2_mixing": op2_mixing,
@@ -72,4 +79,5 @@ QUERIES = {
     "op8_topk": op8_topk,
     "op9_token_counts": op9_token_counts,
     "op10_bpe": op10_bpe,
+    "pipeline": pipeline,
 }
