@@ -1,0 +1,105 @@
+"""Sharding and mixing: hand-checked laws on small tables with nulls, ties and clashing names."""
+
+import zlib
+
+import pytest
+
+from citeloom.llm import mixing, sharding
+
+_DOCS = "doc_id long, text string, source string, size long, block string"
+
+
+def _docs(spark, rows):
+    return spark.createDataFrame([(*r, 7, "clash") for r in rows], _DOCS)
+
+
+def test_shards_are_contiguous_even_and_gapless(spark):
+    rows = [(i, "wörd " * (i % 37), "s") for i in range(500)]
+    rows += [(None, None, "s"), (3, "", None), (3, "", None), (900, "x" * 3000, "s")]
+    got = sharding.shard_by_bytes(_docs(spark, rows), shards=7).collect()
+    assert len(got) == len(rows)
+    total = sum(r["size"] for r in got)
+    assert total == sum(len((t or "").encode()) + 1 for _, t, _ in rows)
+    for shard in {r.shard for r in got}:
+        mine = [r for r in got if r.shard == shard]
+        assert sorted(r.slot for r in mine) == list(range(len(mine)))
+        assert abs(sum(r["size"] for r in mine) - total / 7) <= 3001
+    order = sorted(got, key=lambda r: (r.shard, r.slot))
+    ids = [-1 if r.doc_id is None else r.doc_id for r in order]
+    assert ids == sorted(ids)
+    crc = {(r.doc_id, r["size"]): r.text_crc32 for r in got}
+    assert all(crc[i, len((t or "").encode()) + 1] == zlib.crc32((t or "").encode()) for i, t, _ in rows)
+    assert {(r.law, r.grown_shard) for r in got} == {("bytes", None)}
+
+
+def test_shards_of_an_empty_table(spark):
+    assert sharding.shard_by_bytes(_docs(spark, [])).count() == 0
+
+
+def _targets(sizes, weights=(5, 2, 1), cap=3):
+    names = sorted(sizes, key=lambda s: (s is None, (s or "").encode()))
+    weight = {s: weights[k % 3] for k, s in enumerate(names)}
+    free, left, target = set(names), float(sum(sizes.values())), {}
+    while free:
+        whole = sum(weight[s] for s in free)
+        above = {s for s in free if left * weight[s] / whole > cap * sizes[s]}
+        if not above:
+            return {**target, **{s: left * weight[s] / whole for s in free}}
+        for s in above:
+            target[s] = cap * sizes[s]
+        left -= sum(target[s] for s in above)
+        free -= above
+    return target
+
+
+def test_mix_meets_targets(spark):
+    rows = [(i, "a b\tc " * (1 + i % 9), "big") for i in range(3000)]
+    rows += [(10_000 + i, "x y" * 3, s) for i, s in enumerate([None, "é", "small", "Z"] * 5)]
+    rows += [(20_000, None, "void"), (20_001, "", "void"), (5, "a b c", "big"), (None, "q", "é")]
+    plan = mixing.plan_mix(_docs(spark, rows)).collect()
+    assert len(plan) == len(rows)
+    sizes = {}
+    for _, text, source in rows:
+        sizes[source] = sizes.get(source, 0) + len((text or "").split())
+    want = _targets(sizes)
+    for source, size in sizes.items():
+        mine = [r for r in plan if r.source == source]
+        assert {r.source_size for r in mine} == {size}
+        assert all(r.target == pytest.approx(want[source]) for r in mine)
+        assert abs(sum(r.taken for r in mine) - want[source]) <= 0.5
+    assert all(0 <= r.taken <= 3 * r["size"] for r in plan)
+    again = mixing.plan_mix(_docs(spark, rows[::-1]).repartition(5)).collect()
+    key = lambda r: (str(r.doc_id), r["size"], r.taken, r.start)
+    assert sorted(map(key, plan)) == sorted(map(key, again))
+
+
+def test_training_order_follows_the_schedule(spark):
+    rows = [(i, "a b c d e", "abc"[i % 3]) for i in range(900)]
+    plan = mixing.plan_mix(_docs(spark, rows), keep=("text",))
+    reads = mixing.training_order(plan, "text").collect()
+    positions = [r.position for r in reads]
+    assert positions == sorted(positions) and 0 <= positions[0] and positions[-1] <= 1
+    taken = {r.doc_id: r.taken for r in plan.collect()}
+    words = {}
+    for r in reads:
+        assert len(r.text.split()) == r.words
+        words[r.doc_id] = words.get(r.doc_id, 0) + r.words
+    assert words == {i: t for i, t in taken.items() if t}
+    # "a" weighs more early on, "c" late.
+    half = {s: [r.position < 0.5 for r in reads if r.source == s] for s in "abc"}
+    share = {s: sum(h) / len(h) for s, h in half.items()}
+    assert share["a"] == pytest.approx(0.625, abs=0.02)
+    assert share["b"] == pytest.approx(0.5, abs=0.02)
+    assert share["c"] == pytest.approx(0.375, abs=0.03)
+
+
+def test_mix_of_an_empty_table(spark):
+    assert mixing.plan_mix(_docs(spark, [])).count() == 0
+
+
+@pytest.mark.parametrize("operator", ["op2_mixing", "op4_sharding"])
+def test_native_plans_have_no_python(spark, operator):
+    from citeloom.llm.queries import QUERIES
+
+    plan = QUERIES[operator](spark, "/root/testdata/sf0.001")._jdf.queryExecution().toString()
+    assert not any(word in plan for word in ("Python", "Pandas", "Arrow"))
