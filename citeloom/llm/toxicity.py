@@ -324,16 +324,18 @@ def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     """
     spark = docs.sparkSession
     chosen = (
-        labels.where(F.col(label_col).isNotNull() & F.col(id_col).isNotNull() & ~held_out(id_col))
+        labels.select(id_col, label_col)
+        .where(F.col(label_col).isNotNull() & F.col(id_col).isNotNull() & ~held_out(id_col))
         .groupBy(F.col(id_col).alias("labelled"))
         .agg(F.max(label_col).cast("int").alias("toxic"))
         .orderBy(F.xxhash64("labelled"), "labelled")
         .limit(TRAINING_ROWS)
     )
     training = write_stage(
-        docs.where(F.col(text_col).isNotNull())
+        docs.select(F.col(id_col), F.col(text_col).alias("text"))
+        .where("text IS NOT NULL")
         .join(F.broadcast(chosen), F.col(id_col) == F.col("labelled"))
-        .groupBy(F.col(text_col).alias("text"))
+        .groupBy("text")
         .agg(F.max("toxic").alias("toxic")),
         new_stage_path(spark, "training-texts"),
     )

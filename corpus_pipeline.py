@@ -15,10 +15,21 @@ from citeloom.llm.queries import RANKS, table
 from citeloom.sources.staged import new_stage_path, write_stage
 
 
+def _packed(docs: DataFrame, *used: str) -> DataFrame:
+    """The columns that a stage uses, and the rest in one column, so that no name can clash."""
+    rest = [F.col(f"`{c}`") for c in docs.columns if c not in used]
+    return docs.select(*used, F.struct(*(rest or [F.lit(0).alias("none")])).alias("others"))
+
+
+def _unpacked(df: DataFrame, columns: list[str], *used: str) -> DataFrame:
+    return df.select(*(c if c in used else F.col("others").getField(c).alias(c) for c in columns))
+
+
 def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the clause grammar predicts to be toxic go."""
     model = toxicity.learn(docs, table(spark, sf_dir, "labels"))
-    return toxicity.score(docs, model).where("predicted = 0").select(*docs.columns)
+    scored = toxicity.score(_packed(docs, "doc_id", "text"), model)
+    return _unpacked(scored.where("predicted = 0"), docs.columns, "doc_id", "text")
 
 
 def keep_one_of_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -30,24 +41,24 @@ def keep_one_of_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: st
     groups = simhash.near_duplicates(docs).select("doc_id", "component_id")
     chosen = groups.where("doc_id = component_id").select(F.col("doc_id").alias("chosen")).distinct()
     known = docs.where("doc_id IS NOT NULL")
-    kept = known.join(chosen, F.col("doc_id") == F.col("chosen"), "left_semi")
+    kept = known.join(chosen, known["doc_id"] == chosen["chosen"], "left_semi")
     return kept.dropDuplicates(["doc_id", "text"]).union(docs.where("doc_id IS NULL"))
 
 
 def remove_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Bytes of passages that an earlier document holds go; characters cut in two go whole."""
-    others = tuple(c for c in docs.columns if c not in ("doc_id", "text"))
-    cut = suffix_dedup.remove_repeats(docs, columns=others)
+    cut = suffix_dedup.remove_repeats(_packed(docs, "doc_id", "text", "n_chars"), columns=("others",))
     whole = cut.withColumn("text", F.col("kept").cast("string"))
-    return whole.withColumn("n_chars", F.char_length("text").cast("long")).select(*docs.columns)
+    counted = whole.withColumn("n_chars", F.char_length("text").cast("long"))
+    return _unpacked(counted, docs.columns, "doc_id", "text", "n_chars")
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The mix in training order: a row per reading, the last of a source cut where its target is reached."""
-    others = tuple(c for c in docs.columns if c not in ("doc_id", "source"))
-    plan = mixing.plan_mix(docs, keep=others)
+    used = ("doc_id", "source", "text", "n_chars")
+    plan = mixing.plan_mix(_packed(docs, *used), keep=("text", "others"))
     read = mixing.training_order(plan, "text")
-    return read.withColumn("n_chars", F.char_length("text").cast("long")).select(*docs.columns)
+    return _unpacked(read.withColumn("n_chars", F.char_length("text").cast("long")), docs.columns, *used)
 
 
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
