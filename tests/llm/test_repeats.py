@@ -1,0 +1,173 @@
+"""Prefix-free parsing against plain suffix sorting, and cutting against plain comparison."""
+
+import hashlib
+import random
+
+import numpy as np
+import pyarrow as pa
+import pytest
+
+from citeloom.llm import prefix_free, suffix_dedup
+
+
+def _texts(draw):
+    base = bytes(draw.choice(b"ab") for _ in range(40))
+    kinds = (
+        lambda: base[: draw.randrange(40)],
+        lambda: b"a" * draw.randrange(30),
+        lambda: bytes(draw.choice(b"abc") for _ in range(draw.randrange(20))),
+    )
+    texts = [b"".join(draw.choice(kinds)() for _ in range(draw.randrange(1, 6))) for _ in range(draw.randrange(1, 8))]
+    return [t for t in texts if t]
+
+
+def _flat(texts):
+    sizes = [len(t) for t in texts]
+    return np.frombuffer(b"".join(texts), np.uint8), np.repeat(np.cumsum(sizes), sizes).astype(np.int64)
+
+
+@pytest.mark.parametrize("rarity", [1, 3, 8, 10**6])
+def test_corpus_order(monkeypatch, rarity):
+    monkeypatch.setattr(prefix_free, "RARITY", rarity)
+    draw = random.Random(rarity)
+    for _ in range(60):
+        text, ends = _flat(_texts(draw))
+        raw = text.tobytes()
+        order = prefix_free.corpus_order(text, ends)
+        suffixes = [raw[i : ends[i]] for i in order]
+        assert suffixes == sorted(suffixes)
+        assert sorted(order.tolist()) == list(range(len(raw)))
+
+
+def test_equal_windows():
+    text, ends = _flat([b"xxabcdeyy", b"zabcdez", b"abcd"])
+    order, fresh = prefix_free.equal_windows(text, ends, np.ones(len(text), bool), 5)
+    groups = np.cumsum(fresh)
+    same = {tuple(sorted(order[groups == g].tolist())) for g in set(groups) if (groups == g).sum() > 1}
+    assert same == {(2, 10)}
+
+
+def _expected(rows, span=suffix_dedup.SPAN):
+    top = 1 << 63
+    first = {}
+    for i, text in rows:
+        for at in range(len(text) - span + 1):
+            key = text[at : at + span]
+            first[key] = min(first.get(key, top), top if i is None else i)
+    out = []
+    for i, text in rows:
+        gone = bytearray(len(text))
+        for at in range(len(text) - span + 1):
+            if first[text[at : at + span]] < (top if i is None else i):
+                gone[at : at + span] = b"\1" * span
+        kept = bytes(c for c, g in zip(text, gone, strict=True) if not g)
+        spans = sum(1 for k, g in enumerate(gone) if g and not gone[k - 1 : k].count(1))
+        out.append((i, len(text), sum(gone), spans, hashlib.sha256(kept).hexdigest()))
+    return sorted(out, key=str)
+
+
+def _rows(seed, n=60):
+    draw = random.Random(seed)
+    passages = [bytes(draw.choice(b"abcdefgh ") for _ in range(draw.randrange(40, 200))) for _ in range(6)]
+    rows = []
+    for _ in range(n):
+        parts = [
+            draw.choice(
+                [
+                    *passages,
+                    b"x" * draw.randrange(90),
+                    b"ab" * draw.randrange(60),
+                    bytes(draw.choice(b"ab") for _ in range(draw.randrange(100))),
+                    bytes(draw.choice(b"abcdefghijklmnop") for _ in range(draw.randrange(60))),
+                ]
+            )[draw.choice([0, 0, 3]) :]
+            for _ in range(draw.randrange(12))
+        ]
+        rows.append((draw.randrange(50), b"".join(parts)))
+    return rows
+
+
+def _locally(rows, block, buckets):
+    """The operator's tasks one after the other, without Spark."""
+    out = {}
+    for at in range(0, len(rows), block):
+        part = rows[at : at + block]
+        for bucket, packed in suffix_dedup._block_rows([i for i, _ in part], [t for _, t in part], buckets):
+            out.setdefault(bucket, []).append(packed)
+    items = {}
+    for packed in out.values():
+        found = suffix_dedup._compare_bucket(pa.table({"packed": pa.array(packed, pa.binary())}))
+        for i, item in zip(found["id"].to_pylist(), found["item"].to_pylist(), strict=True):
+            items.setdefault(i, []).append(item)
+    mine = [np.array([x for x in items.get(i, []) if x & 3 != suffix_dedup.COVER], np.int64) for i, _ in rows]
+    ids, texts = [i for i, _ in rows], [t for _, t in rows]
+    asked = list(suffix_dedup._asked_rows(ids, texts, mine))
+    calls = {}
+    for row in asked:
+        calls.setdefault(row[0], []).append(row)
+    marks = {}
+    for call in calls.values():
+        names = ("key", "id", "content", "mask", "data")
+        table = pa.table(dict(zip(names, map(list, zip(*call, strict=True)), strict=True)))
+        found = suffix_dedup._sort_call(table)
+        for i, name, mask in zip(*(found[c].to_pylist() for c in ("id", "content", "mask")), strict=True):
+            mine = marks.setdefault(i, {})
+            mine[name] = mine.get(name, 0) | mask
+    covered = [
+        suffix_dedup._keys(np.array([k]), np.array([x >> 2]))[0]
+        for k, i in enumerate(ids)
+        for x in items.get(i, [])
+        if x & 3 == suffix_dedup.COVER
+    ]
+    named = [(k, name, mask) for k, i in enumerate(ids) for name, mask in marks.get(i, {}).items()]
+    marked = np.array([suffix_dedup._keys(np.array([k]), np.array([n]))[0] for k, n, _ in named], np.uint64)
+    masks = np.array([m for _, _, m in named], np.int64)
+    result = []
+    for (i, text), gone in zip(
+        rows, suffix_dedup.repeated_bytes(texts, np.array(covered, np.uint64), marked, masks), strict=True
+    ):
+        kept = np.frombuffer(text, np.uint8)[~gone].tobytes()
+        spans = int(gone[:1].sum()) + int((gone[1:] & ~gone[:-1]).sum())
+        result.append((i, len(text), int(gone.sum()), spans, hashlib.sha256(kept).hexdigest()))
+    return sorted(result, key=str)
+
+
+@pytest.mark.parametrize(
+    ("block", "buckets", "part", "hot"),
+    [(1000, 1, 1 << 20, 64), (7, 5, 1 << 20, 64), (10, 4, 90, 64), (20, 3, 1 << 20, 1), (9, 6, 120, 0)],
+)
+def test_every_way_through_the_tasks(monkeypatch, block, buckets, part, hot):
+    monkeypatch.setattr(suffix_dedup, "PART", part)
+    monkeypatch.setattr(suffix_dedup, "HOT", hot)
+    for seed in range(3):
+        rows = _rows(seed)
+        assert _locally(rows, block, buckets) == _expected(rows)
+
+
+def test_rows(spark):
+    rows = [(i, t.decode()) for i, t in _rows(11, 80)]
+    rows += [(None, rows[5][1]), (None, "fresh words of no other document at all, hence they have to stay"), (60, None)]
+    rows += [(61, ""), (62, "é" * 40 + rows[7][1]), (63, "ü" + "é" * 40), rows[9], rows[9]]
+    df = spark.createDataFrame([(*r, 1, "k") for r in rows], "doc_id long, text string, key int, items string").repartition(4)
+    cut = suffix_dedup.remove_repeats(df, columns=("key", "items"))
+    got = cut.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256").collect()
+    assert sorted(map(tuple, got), key=str) == _expected([(i, (t or "").encode()) for i, t in rows])
+    assert cut.where("key <> 1 OR items <> 'k'").count() == 0
+    assert suffix_dedup.remove_repeats(df.where("false")).count() == 0
+
+
+def test_characters_stay_whole():
+    data = "aéz".encode()
+    gone = np.array([False, True, False, False])
+    assert suffix_dedup.whole_characters(data, gone) == b"az"
+
+
+def test_packing():
+    rng = np.random.default_rng(1)
+    trigger = rng.integers(0, 1 << 48, 1000, dtype=np.uint64)
+    content = rng.integers(0, 1 << 48, 1000, dtype=np.uint64)
+    ids = rng.integers(-5, 1 << 62, 1000)
+    hot = rng.random(1000) < 0.1
+    back = suffix_dedup._unpack(suffix_dedup._pack(trigger, content, ids, hot))
+    want = sorted(zip(trigger, content, ids, hot, strict=True))
+    assert sorted(zip(*back, strict=True)) == want
