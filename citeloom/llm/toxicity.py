@@ -174,7 +174,8 @@ class Grammar:
             counts[-1] += sum(read.count(c | 8) for c in range(END))
             hits = any(read.count(c) for c in (INSULT, THREAT, INSULT | 8, THREAT | 8))
             if not hits and state == 0:
-                continue
+                # Only the clause still open can matter to the next part.
+                read = read[max(read.rfind(c | 8) for c in range(END)) + 1 :]
             for code in read:
                 state = moves[state][code & 7]
                 if code & 8:

@@ -28,35 +28,35 @@ LEVEL = 6
 _PAGES = uuid.UUID("6ba7b811-9dad-11d1-80b4-00c04fd430c8")
 
 
-def _record_id(page: int | None, row: int) -> str:
-    return f"<urn:uuid:{uuid.uuid5(_PAGES, f'page:{page}:{row}')}>"
+def _record_id(page: int | None, digest: str) -> str:
+    return f"<urn:uuid:{uuid.uuid5(_PAGES, f'page:{page}:{digest}')}>"
 
 
 def format_record(
-    page: int | None, row: int, url: str | None, payload: bytes, digest: str, refers_to: tuple | None
+    page: int | None, url: str | None, payload: bytes, digest: str, refers_to: int | None
 ) -> bytes:
-    """One record. A revisit keeps the HTTP head of its response, without the body."""
+    """One record. A revisit of page ``refers_to`` keeps its HTTP head, without the body."""
     head = (
         "HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n"
         f"Content-Length: {len(payload)}\r\n\r\n"
     ).encode()
-    block = head if refers_to else head + payload
+    block = head + payload if refers_to is None else head
     # A line break in a URL would end the field.
     target = "".join(c for c in (url or "") if c not in "\r\n")
     fields = [
         "WARC/1.1",
-        f"WARC-Type: {'revisit' if refers_to else 'response'}",
-        f"WARC-Record-ID: {_record_id(page, row)}",
+        f"WARC-Type: {'response' if refers_to is None else 'revisit'}",
+        f"WARC-Record-ID: {_record_id(page, digest)}",
         "WARC-Date: 1970-01-01T00:00:00Z",
         f"WARC-Target-URI: {target}",
         f"WARC-Payload-Digest: sha1:{digest}",
         f"X-Page-ID: {'' if page is None else page}",
     ]
-    if refers_to:
+    if refers_to is not None:
         fields += [
             f"WARC-Profile: {REVISIT_PROFILE}",
-            f"WARC-Refers-To: {_record_id(*refers_to)}",
-            f"X-Refers-To-Page-ID: {'' if refers_to[0] is None else refers_to[0]}",
+            f"WARC-Refers-To: {_record_id(refers_to, digest)}",
+            f"X-Refers-To-Page-ID: {refers_to}",
         ]
     fields += ["Content-Type: application/http; msgtype=response", f"Content-Length: {len(block)}"]
     return "\r\n".join(fields).encode() + b"\r\n\r\n" + block + b"\r\n\r\n"
@@ -147,9 +147,8 @@ def _write_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     def records() -> Iterator[bytes]:
         for batch in batches:
             for cells in zip(*batch.columns, strict=True):
-                page, row, url, html, digest, main_page, main_row = (c.as_py() for c in cells)
-                main = None if main_row is None or main_row == row else (main_page, main_row)
-                yield format_record(page, row, url, html or b"", digest, main)
+                page, url, html, digest, main = (c.as_py() for c in cells)
+                yield format_record(page, url, html or b"", digest, None if main == page else main)
 
     frames, size = [], 0
     for frame in archive_frames(records()):
@@ -169,28 +168,22 @@ def write_archives(pages: DataFrame, path: str, id_col: str = "page_id", url_col
     id is a response and the others are revisits of it; only digests and ids
     are grouped. Frames go through Spark's text writer, whose line end is set to
     an empty skippable frame, so any file system that Spark knows can hold the
-    archives. Null payloads are empty; null ids sort below all others; repeated
-    rows are records of their own, of which one is the response.
+    archives. Null payloads are empty; a null id sorts below all others and is
+    never referred to; rows that repeat the largest id are responses each.
     """
     rows = pages.select(
         F.col(id_col).cast("long").alias("page_id"),
-        # Tells repeated rows apart.
-        F.monotonically_increasing_id().alias("row"),
         F.col(url_col).alias("url"),
         F.col(html_col).cast("binary").alias("html"),
     ).withColumn("digest", F.sha1(F.coalesce("html", F.lit("").cast("binary"))))
     groups = (
         rows.where(F.octet_length("html") >= REVISIT_BYTES)
         .groupBy("digest")
-        .agg(F.max(F.struct("page_id", "row")).alias("main"), F.count("*").alias("members"))
+        .agg(F.max("page_id").alias("main"), F.count("*").alias("members"))
         .where(F.col("members") > 1)
-        .select(
-            "digest", F.col("main.page_id").alias("main_page"), F.col("main.row").alias("main_row")
-        )
-    )
-    named = rows.join(groups, "digest", "left").select(
-        "page_id", "row", "url", "html", "digest", "main_page", "main_row"
+        .select("digest", "main")
     )
+    named = rows.join(groups, "digest", "left").select("page_id", "url", "html", "digest", "main")
     frames = named.mapInArrow(_write_task, "frame binary")
     frames.select(F.col("frame").cast("string")).write.option("lineSep", EMPTY_FRAME).text(path)
 
