@@ -40,7 +40,7 @@ def suffix_ranks(symbols: np.ndarray, ends: np.ndarray) -> np.ndarray:
 def _trigger(text: np.ndarray) -> np.ndarray:
     """True where a trigger begins: a rolling hash of the next bytes is divisible by the rarity."""
     value = np.zeros(len(text), np.uint64)
-    for k in range(TRIGGER):
+    for k in range(min(TRIGGER, len(text))):
         part = np.zeros(len(text), np.uint64)
         part[: len(text) - k] = text[k:]
         value = value * np.uint64(0x100000001B3) + part + np.uint64(1)

@@ -8,6 +8,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -21,9 +22,9 @@ SPAN = 50
 GRAM = 20
 WINDOW = SPAN - GRAM + 1
 #: Bytes parsed at a time, and bytes whose phrases are compared before anything is shuffled.
-PART, BLOCK = 1 << 20, 24 << 20
+PART, BLOCK = 1 << 19, 8 << 20
 #: Phrases that one bucket of the comparison, and one call of the suffix sort, hold about.
-BUCKET_PHRASES, CALL_PHRASES = 400_000, 12_000
+BUCKET_PHRASES, CALL_PHRASES = 200_000, 8_000
 #: A trigger with more distinct phrases than this in a block is spread over so many groups.
 HOT, SPREAD = 64, 64
 COVER, ASK, ASK_SPREAD = 0, 1, 2
@@ -152,11 +153,12 @@ def _pack(trigger: np.ndarray, content: np.ndarray, ids: np.ndarray, hot: np.nda
         place.astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes(),
         hot.astype(np.uint8).tobytes(),
     ]
-    return zstandard.ZstdCompressor(level=1).compress(b"".join(planes))
+    raw = b"".join(planes)
+    return b"r" + raw if len(trigger) < 32 else b"z" + zstandard.ZstdCompressor(level=1).compress(raw)
 
 
 def _unpack(blob: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    raw = zstandard.ZstdDecompressor().decompress(blob)
+    raw = blob[1:] if blob[:1] == b"r" else zstandard.ZstdDecompressor().decompress(blob[1:])
     n, m = np.frombuffer(raw, np.uint64, 2).astype(int).tolist()
     known = np.frombuffer(raw, np.int64, m, 16)
     at = 16 + 8 * m
@@ -276,22 +278,31 @@ def _compare_bucket(bucket: pa.Table) -> pa.Table:
 # Phrases whose bytes have to be compared
 
 
-def _asked_rows(own_id: int, text: bytes, asked: np.ndarray) -> Iterator[tuple[int, int, int, int, bytes]]:
-    """(group, id, content, windows to compare, bytes) of a document's asked phrases."""
-    wanted = np.sort(asked >> 2)
-    kinds = asked[np.argsort(asked >> 2, kind="stable")] & 3
+def _keys(rows: np.ndarray, contents: np.ndarray) -> np.ndarray:
+    """Phrase names told apart by the row of a batch that they belong to."""
+    return rows.astype(np.uint64) << np.uint64(48) | contents.astype(np.uint64)
+
+
+def _asked_rows(ids: list[int], texts: list[bytes], asked: list[np.ndarray]) -> Iterator[tuple]:
+    """(group, id, content, windows to compare, bytes) of the phrases asked of each text."""
+    items = np.concatenate([np.zeros(0, np.int64), *asked])
+    rows = np.repeat(np.arange(len(asked)), [len(a) for a in asked])
+    wanted = _keys(rows, items >> 2)
+    order = np.argsort(wanted)
+    wanted, kinds = wanted[order], (items & 3)[order]
     done: set[int] = set()
-    for parse, _, _ in parsed([text]):
-        content = parse.content.astype(np.int64)
-        for k in np.flatnonzero(np.isin(content, wanted)):
-            name = int(content[k])
-            if name in done:
+    for parse, which, _ in parsed(texts):
+        keys = _keys(which, parse.content)
+        for k in np.flatnonzero(np.isin(keys, wanted)):
+            key = int(keys[k])
+            if key in done:
                 continue
-            done.add(name)
+            done.add(key)
+            own_id, name = ids[which[k]], int(parse.content[k])
             first, windows = int(parse.first[k]), int(parse.windows[k])
             data = parse.text[first : first + windows + SPAN - 1].tobytes()
             trigger = int(parse.trigger[k])
-            if kinds[np.searchsorted(wanted, name)] == ASK:
+            if kinds[np.searchsorted(wanted, keys[k])] == ASK:
                 yield trigger, own_id, name, (1 << windows) - 1, data
                 continue
             groups = parse.window_groups(np.arange(first, first + windows), SPREAD)
@@ -300,22 +311,36 @@ def _asked_rows(own_id: int, text: bytes, asked: np.ndarray) -> Iterator[tuple[i
                 yield trigger ^ (int(g) + 1) << 48, own_id, name, mask, data
 
 
-def _ask_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    schema = pa.schema(
-        [("key", pa.int64()), ("id", pa.int64()), ("content", pa.int64()), ("mask", pa.int64()), ("data", pa.binary())]
-    )
-    rows, size = [], 0
+_ASKED = pa.schema(
+    [("key", pa.int64()), ("id", pa.int64()), ("content", pa.int64()), ("mask", pa.int64()), ("data", pa.binary())]
+)
+
+
+def _text_batches(batches: Iterator[pa.RecordBatch], text: int) -> Iterator[pa.RecordBatch]:
+    """Slices of few rows and, but for single long texts, few bytes."""
     for batch in batches:
-        for i, text, asked in zip(*batch.columns, strict=True):
-            if not asked.is_valid or not len(asked) or not text.is_valid:
-                continue
-            for row in _asked_rows(i.as_py(), text.as_py(), np.array(asked.as_py(), np.int64)):
-                rows.append(row)
-                if len(rows) >= 20_000:
-                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), schema.types, strict=True)], schema=schema)
-                    rows = []
-    if rows:
-        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), schema.types, strict=True)], schema=schema)
+        sizes = np.array(pc.fill_null(pc.binary_length(batch.column(text)), 0))
+        at = 0
+        while at < batch.num_rows:
+            to = at + max(1, int(np.searchsorted(np.cumsum(sizes[at : at + 4096]), 4 * PART)))
+            yield batch.slice(at, to - at)
+            at = to
+
+
+def _ask_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in _text_batches(batches, 1):
+        ids, texts, asked = [], [], []
+        for i, text, items in zip(*batch.columns, strict=True):
+            if items.is_valid and text.is_valid and len(items):
+                ids.append(i.as_py())
+                texts.append(text.as_py())
+                asked.append(items.values.to_numpy())
+        rows = list(_asked_rows(ids, texts, asked)) if ids else []
+        if rows:
+            columns = zip(*rows, strict=True)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(c, kind) for c, kind in zip(columns, _ASKED.types, strict=True)], schema=_ASKED
+            )
 
 
 def _sort_call(call: pa.Table) -> pa.Table:
@@ -343,52 +368,74 @@ def _sort_call(call: pa.Table) -> pa.Table:
 # Cutting
 
 
-def repeated_bytes(text: bytes, covered: np.ndarray, marks: dict[int, int]) -> np.ndarray:
-    """True for each byte of a window that an earlier document holds."""
-    edge = np.zeros(len(text) + 1, np.int32)
-    for parse, _, places in parsed([text]):
-        content = parse.content.astype(np.int64)
-        for k in np.flatnonzero(np.isin(content, covered)):
-            at = int(places[k])
-            edge[at] += 1
-            edge[at + int(parse.windows[k]) + SPAN - 1] -= 1
-        if marks:
-            names = np.fromiter(marks, np.int64, len(marks))
-            for k in np.flatnonzero(np.isin(content, names)):
-                at, mask = int(places[k]), marks[int(content[k])]
-                for o in range(int(parse.windows[k])):
-                    if mask >> o & 1:
-                        edge[at + o] += 1
-                        edge[at + o + SPAN] -= 1
-    return np.cumsum(edge[:-1]) > 0
+def repeated_bytes(texts: list[bytes], covered: np.ndarray, marked: np.ndarray, masks: np.ndarray) -> list[np.ndarray]:
+    """Per text, True for each byte of a window that an earlier document holds.
+
+    ``covered`` and ``marked`` are phrase keys by row of ``texts``; a marked
+    phrase has a mask of its windows.
+    """
+    gone = [np.zeros(len(t), bool) for t in texts]
+    order = np.argsort(marked)
+    marked, masks = marked[order], masks[order]
+    for parse, which, places in parsed(texts):
+        keys = _keys(which, parse.content)
+        edge = np.zeros(len(parse.text) + 1, np.int32)
+        whole = np.flatnonzero(np.isin(keys, covered))
+        np.add.at(edge, parse.first[whole], 1)
+        np.add.at(edge, parse.first[whole] + parse.windows[whole] + SPAN - 1, -1)
+        if len(marked):
+            some = np.flatnonzero(np.isin(keys, marked))
+            mask, first = masks[np.searchsorted(marked, keys[some])], parse.first[some]
+            for o in range(int(parse.windows[some].max(initial=0))):
+                hit = first[(mask >> o) & 1 == 1] + o
+                np.add.at(edge, hit, 1)
+                np.add.at(edge, hit + SPAN, -1)
+        cut = np.cumsum(edge[:-1]) > 0
+        rows, at = np.unique(which, return_index=True)
+        # A text's first phrase begins where the text, or the part of it, does.
+        for k, begin, place in zip(rows.tolist(), parse.first[at].tolist(), places[at].tolist(), strict=True):
+            size = min(len(texts[k]) - place, len(cut) - begin)
+            gone[k][place : place + size] |= cut[begin : begin + size]
+    return gone
+
+
+def whole_characters(data: bytes, gone: np.ndarray) -> bytes:
+    """The kept bytes without those of characters of which a byte is gone."""
+    raw = np.frombuffer(data, np.uint8)
+    first = (raw & 0xC0) != 0x80
+    first[0] = True
+    character = np.cumsum(first) - 1
+    broken = np.zeros(character[-1] + 1, bool)
+    broken[character[gone]] = True
+    return raw[~broken[character]].tobytes()
+
+
+def _flat(lists: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Row and value of all list members."""
+    sizes = np.array(pc.fill_null(pc.list_value_length(lists), 0), np.int64)
+    return np.repeat(np.arange(len(lists)), sizes), lists.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
 
 
 def _cut_task(width: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _text_batches(batches, width):
+            texts = [c.as_py() or b"" for c in batch.column(width)]
+            row, item = _flat(batch.column(width + 1))
+            covered = _keys(row, item >> 2)[item & 3 == COVER]
+            row, name = _flat(batch.column(width + 2))
+            marked, position = np.unique(_keys(row, name), return_inverse=True)
+            masks = np.zeros(len(marked), np.int64)
+            np.bitwise_or.at(masks, position.reshape(-1), _flat(batch.column(width + 3))[1])
+            gone = repeated_bytes(texts, covered, marked, masks)
             out = {"n_bytes": [], "n_removed": [], "n_spans": [], "kept": [], "kept_sha256": []}
-            for text, items, contents, masks in zip(*batch.columns[width:], strict=True):
-                data = text.as_py() or b""
-                items = np.array(items.as_py() or [], np.int64)
-                covered = items[items & 3 == COVER] >> 2
-                marks: dict[int, int] = {}
-                for name, mask in zip(contents.as_py() or [], masks.as_py() or [], strict=True):
-                    marks[name] = marks.get(name, 0) | mask
-                kept, removed, spans = data, 0, 0
-                if len(covered) or marks:
-                    gone = repeated_bytes(data, covered, marks)
-                    removed = int(gone.sum())
-                    spans = int(gone[:1].sum()) + int((gone[1:] & ~gone[:-1]).sum())
-                    if removed:
-                        kept = np.frombuffer(data, np.uint8)[~gone].tobytes()
-                        text_kept = whole_characters(data, gone)
-                if not removed:
-                    text_kept = data
+            for data, cut in zip(texts, gone, strict=True):
+                removed = int(cut.sum())
+                left = np.frombuffer(data, np.uint8)[~cut].tobytes() if removed else data
                 out["n_bytes"].append(len(data))
                 out["n_removed"].append(removed)
-                out["n_spans"].append(spans)
-                out["kept"].append(text_kept)
-                out["kept_sha256"].append(hashlib.sha256(kept).hexdigest())
+                out["n_spans"].append(int(cut[:1].sum()) + int((cut[1:] & ~cut[:-1]).sum()))
+                out["kept"].append(whole_characters(data, cut) if removed else data)
+                out["kept_sha256"].append(hashlib.sha256(left).hexdigest())
             yield pa.RecordBatch.from_arrays(
                 [
                     *batch.columns[:width],
@@ -402,17 +449,6 @@ def _cut_task(width: int):
     return run
 
 
-def whole_characters(data: bytes, gone: np.ndarray) -> bytes:
-    """The kept bytes without those of characters of which a byte is gone."""
-    raw = np.frombuffer(data, np.uint8)
-    first = (raw & 0xC0) != 0x80
-    first[0] = True
-    character = np.cumsum(first) - 1
-    broken = np.zeros(character[-1] + 1, bool)
-    broken[character[gone]] = True
-    return raw[~broken[character]].tobytes()
-
-
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", columns: tuple[str, ...] = ()) -> DataFrame:
     """Cut every byte covered by a ``SPAN``-byte string that also starts in a document of smaller id.
 
