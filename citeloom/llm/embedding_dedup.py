@@ -21,7 +21,7 @@ RECALL = 0.995
 #: Rows of a bucket compared in one cell; larger buckets are cut into blocks that all meet.
 BLOCK = 512
 #: Rows of small buckets that one task call handles together.
-TOGETHER = 16_384
+TOGETHER = 2_048
 
 
 class CrossPolytope:
