@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -49,6 +49,15 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(32))
 
 
+def rolling_hash(text: np.ndarray) -> Callable:
+    """Hash of ``size`` bytes from ``at``, for arrays of both."""
+    prefix = np.zeros(len(text) + 1, np.uint64)
+    if len(text):
+        prefix[1:] = np.cumsum(_BYTES[text] * _powers(_ODD, len(text)))
+    undo = _powers(_INVERSE, len(text) + 1)
+    return lambda at, size: (prefix[at + size] - prefix[at]) * undo[at]
+
+
 class Parse:
     """Phrases of one stretch of bytes; ``ends`` holds for each byte where its document ends.
 
@@ -61,10 +70,7 @@ class Parse:
     def __init__(self, text: np.ndarray, ends: np.ndarray) -> None:
         n = len(text)
         self.text = text
-        values = np.zeros(n + 1, np.uint64)
-        if n:
-            values[1:] = np.cumsum(_BYTES[text] * _powers(_ODD, n))
-        self.prefix, self.undo = values, _powers(_INVERSE, n + 1)
+        self._hash = rolling_hash(text)
         here = np.flatnonzero(ends - np.arange(n) >= SPAN)
         if not len(here):
             self.first = self.windows = self.trigger = self.content = np.zeros(0, np.int64)
@@ -88,9 +94,6 @@ class Parse:
             _mix(self._hash(self.first, self.windows + SPAN - 1) + self.windows.astype(np.uint64)) & _48
         )
 
-    def _hash(self, at: np.ndarray, size) -> np.ndarray:
-        return (self.prefix[at + size] - self.prefix[at]) * self.undo[at]
-
     def window_groups(self, at: np.ndarray, groups: int) -> np.ndarray:
         return (_mix(self._hash(at, SPAN)) % np.uint64(groups)).astype(np.int64)
 
@@ -194,11 +197,11 @@ def _block_rows(ids: list[int], texts: list[bytes], buckets: int) -> Iterator[tu
     distinct = fresh | np.concatenate(([True], owner[1:] != owner[:-1]))
     least = owner[fresh][np.cumsum(fresh) - 1]
     known = np.flatnonzero(distinct & ~fresh & (owner > least))
-    for k in range(0, len(known), BUCKET_PHRASES // 8):
-        some = known[k : k + BUCKET_PHRASES // 8]
+    for k in range(0, len(known), BUCKET_PHRASES // 32):
+        some = known[k : k + BUCKET_PHRASES // 32]
         items = np.concatenate((owner[some], (content[some] << np.uint64(2)).astype(np.int64) | COVER))
         # Any bucket may pass these on.
-        yield int(owner[some[0]] % buckets), KNOWN + zstandard.ZstdCompressor(level=1).compress(items.tobytes())
+        yield int(_mix(trigger[some[:1]])[0] % np.uint64(buckets)), KNOWN + zstandard.ZstdCompressor(level=1).compress(items.tobytes())
     trigger, content, owner = trigger[fresh], content[fresh], owner[fresh]
     _, group, members = np.unique(trigger, return_inverse=True, return_counts=True)
     hot = members[group] > HOT
@@ -344,18 +347,31 @@ def _ask_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _sort_call(call: pa.Table) -> pa.Table:
-    """Which windows of each phrase an earlier document holds, from the suffix order of all phrases."""
+    """Which windows of each phrase an earlier document holds, from the suffix order of the phrases.
+
+    Phrases without any window whose hash occurs twice need not be sorted.
+    """
     ids, content = call["id"].to_numpy(), call["content"].to_numpy()
     masks = call["mask"].to_numpy()
     data = [c.as_py() for c in call["data"]]
-    lengths = np.array([len(d) for d in data])
-    ends = np.cumsum(lengths)
-    starts = ends - lengths
-    text = np.frombuffer(b"".join(data), np.uint8)
-    row = np.repeat(np.arange(len(data)), lengths)
-    offset = np.arange(len(text)) - starts[row]
-    wanted = (masks[row] >> np.minimum(offset, 62)) & 1 == 1
-    order, fresh = equal_windows(text, ends[row], wanted, SPAN)
+
+    def laid_out(rows: np.ndarray):
+        lengths = np.array([len(data[r]) for r in rows], np.int64)
+        ends = np.repeat(np.cumsum(lengths), lengths)
+        row = np.repeat(rows, lengths)
+        text = np.frombuffer(b"".join(data[r] for r in rows), np.uint8)
+        offset = np.arange(len(text)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
+        wanted = ((masks[row] >> np.minimum(offset, 62)) & 1 == 1) & (ends - np.arange(len(text)) >= SPAN)
+        return text, ends, row, offset, wanted
+
+    text, _, row, _, wanted = laid_out(np.arange(len(data)))
+    at = np.flatnonzero(wanted)
+    hashes = _mix(rolling_hash(text)(at, SPAN))
+    order = np.argsort(hashes)
+    same = np.concatenate((hashes[order[1:]] == hashes[order[:-1]], [False])) if len(at) else np.zeros(0, bool)
+    repeated = np.concatenate((order[same], order[1:][same[:-1]])) if len(at) else order
+    text, ends, row, offset, wanted = laid_out(np.unique(row[at[repeated]]))
+    order, fresh = equal_windows(text, ends, wanted, SPAN)
     marked = np.zeros(len(data), np.int64)
     if len(order):
         least = np.minimum.reduceat(ids[row[order]], np.flatnonzero(fresh))[np.cumsum(fresh) - 1]
