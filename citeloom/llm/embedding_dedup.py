@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from citeloom.llm.components import connected_components, merge_links
-from citeloom.llm.topk import finite_vector
+from citeloom.llm.topk import finite_vector, padded_matrix
 from citeloom.sources.staged import new_stage_path, write_stage
 
 COSINE = 0.9
@@ -105,10 +105,9 @@ def fit_tables(rows: int, width: int, cosine: float = COSINE, recall: float = RE
     return CrossPolytope(wide, turns, tables)
 
 
-def _columns(batch, name: str, shape: tuple[int, ...]) -> np.ndarray:
-    flat = batch[name].combine_chunks()
-    flat = flat.chunk(0) if isinstance(flat, pa.ChunkedArray) else flat
-    return flat.flatten().to_numpy(zero_copy_only=False).reshape(len(flat), *shape)
+def _unit(vectors: pa.Array, width: int) -> np.ndarray:
+    raw = padded_matrix(vectors, width).astype(np.float64)
+    return raw / np.linalg.norm(raw, axis=1, keepdims=True)
 
 
 def _compare(width: int, tables: int, turns: int, cosine: float):
@@ -117,9 +116,9 @@ def _compare(width: int, tables: int, turns: int, cosine: float):
         table, key = cell["table"].to_numpy(), cell["key"].to_numpy()
         main, block = cell["main"].to_numpy().astype(bool), cell["block"].to_numpy()
         left, right = cell["left"].to_numpy(), cell["right"].to_numpy()
-        raw = _columns(cell, "vector", (width,)).astype(np.float64)
-        unit = raw / np.linalg.norm(raw, axis=1, keepdims=True)
-        own, probes = _columns(cell, "own", (tables,)), _columns(cell, "probes", (tables, turns))
+        unit = _unit(cell["vector"], width)
+        own = padded_matrix(cell["own"])
+        probes = padded_matrix(cell["probes"]).reshape(len(own), tables, turns)
         order = np.lexsort((right, left, key, table))
         new = np.flatnonzero(
             (np.diff(table[order]) != 0)
@@ -176,47 +175,38 @@ def _compare(width: int, tables: int, turns: int, cosine: float):
     return compare
 
 
-def _hashed(classes: DataFrame, index: CrossPolytope, width: int) -> DataFrame:
-    """One row per class and bucket that it owns or probes."""
+def _with_keys(classes: DataFrame, index: CrossPolytope, width: int) -> DataFrame:
+    """Every class with its own and its probed keys."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for at in range(0, whole.num_rows, 1024):
                 batch = whole.slice(at, 1024)
-                raw = np.zeros((batch.num_rows, width))
-                for i, cell in enumerate(batch["vector"]):
-                    raw[i, : len(cell)] = cell.values.to_numpy(zero_copy_only=False)
-                unit = raw / np.linalg.norm(raw, axis=1, keepdims=True)
-                own, probes = index.keys(unit)
-                vectors = pa.FixedSizeListArray.from_arrays(raw.ravel(), width).cast(pa.list_(pa.float64()))
-                kept = pa.FixedSizeListArray.from_arrays(own.ravel(), index.tables).cast(pa.list_(pa.int64()))
-                tried = pa.FixedSizeListArray.from_arrays(
-                    probes.ravel(), index.tables * index.turns
-                ).cast(pa.list_(pa.int64()))
-                for t in range(index.tables):
-                    for p in range(index.turns + 1):
-                        key = own[:, t] if p == 0 else probes[:, t, p - 1]
-                        yield pa.RecordBatch.from_arrays(
-                            [
-                                batch["id"],
-                                batch["copies"],
-                                pa.array(np.full(len(key), t, np.int32)),
-                                pa.array(key),
-                                pa.array(np.full(len(key), p == 0)),
-                                vectors,
-                                kept,
-                                tried,
-                            ],
-                            ["id", "copies", "table", "key", "main", "vector", "own", "probes"],
-                        )
+                own, probes = index.keys(_unit(batch["vector"], width))
+                lists = [
+                    pa.array(list(keys.reshape(len(own), -1)), pa.list_(pa.int64())) for keys in (own, probes)
+                ]
+                yield pa.RecordBatch.from_arrays(
+                    [batch["id"], batch["copies"], batch["vector"], *lists],
+                    ["id", "copies", "vector", "own", "probes"],
+                )
 
+    kind = classes.schema["vector"].dataType.simpleString()
     return classes.mapInArrow(
-        run,
-        "id long, copies long, table int, key long, main boolean, vector array<double>,"
-        " own array<long>, probes array<long>",
+        run, f"id long, copies long, vector {kind}, own array<long>, probes array<long>"
     )
 
 
+def _bucket_rows(keyed: DataFrame, turns: int) -> DataFrame:
+    """``id, table, key, main``: one row per class and bucket that it owns or probes."""
+    place = "named_struct('table', {t}, 'key', k, 'main', {m})"
+    every = (
+        f"concat(transform(own, (k, i) -> {place.format(t='i', m='true')}), "
+        f"transform(probes, (k, i) -> {place.format(t=f'int(i div {turns})', m='false')}))"
+    )
+    return keyed.select("id", F.explode(F.expr(every)).alias("b")).select("id", "b.*")
+
+
 def near_vectors(
     vectors: DataFrame, cosine: float = COSINE, id_col: str = "vec_id", vector_col: str = "embedding"
 ) -> DataFrame:
@@ -252,10 +242,11 @@ def near_vectors(
     )
     n, width = classes.agg(F.count("*"), F.coalesce(F.max(F.size("vector")), F.lit(1))).first()
     index = fit_tables(n, width, cosine)
-    hashed = write_stage(
-        _hashed(classes.select("id", "copies", "vector"), index, width),
-        new_stage_path(spark, "vector-buckets"),
+    keyed = write_stage(
+        _with_keys(classes.select("id", "copies", "vector"), index, width),
+        new_stage_path(spark, "vector-keys"),
     )
+    hashed = _bucket_rows(keyed, index.turns)
     large = (
         hashed.groupBy("table", "key")
         .agg(F.count("*").alias("bucket_rows"))
@@ -286,7 +277,9 @@ def near_vectors(
         )
     )
     found = write_stage(
+        # Places are thin; each class's vector joins them once.
         cells.drop("bucket_rows", "blocks", "against")
+        .join(keyed, "id")
         .groupBy("part", "cell_left", "cell_right")
         .applyInArrow(
             _compare(width, index.tables, index.turns, cosine), "a long, b long, links long"

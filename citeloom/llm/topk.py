@@ -71,13 +71,12 @@ def best_rows(scores: np.ndarray, ids: np.ndarray, k: int) -> tuple[np.ndarray,
     return q[rank < k], c[rank < k]
 
 
-def _matrix(column: pa.ChunkedArray) -> np.ndarray:
-    lists = column.combine_chunks()
-    if isinstance(lists, pa.ChunkedArray):
-        lists = lists.chunk(0)
+def padded_matrix(column: pa.Array | pa.ChunkedArray, width: int | None = None) -> np.ndarray:
+    """A column of lists as rows of one width, the widest if none is given, padded with zeros."""
+    lists = pa.concat_arrays(column.chunks) if isinstance(column, pa.ChunkedArray) else column
     sizes = np.diff(lists.offsets.to_numpy())
     flat = lists.flatten().to_numpy(zero_copy_only=False)
-    width = int(sizes.max(initial=0))
+    width = int(sizes.max(initial=0)) if width is None else width
     if (sizes == width).all():
         return flat.reshape(len(sizes), width)
     out = np.zeros((len(sizes), width), flat.dtype)
@@ -89,7 +88,7 @@ def _cell(k: int):
     def score(cell: pa.Table) -> pa.Table:
         asks = cell["is_query"].to_numpy().astype(bool)
         ids, rows = cell["vec_id"].to_numpy(), cell["row"].to_numpy()
-        vectors = _matrix(cell["terms"])
+        vectors = padded_matrix(cell["terms"])
         scores = scatter_scores(vectors[~asks], vectors[asks]).T.astype(np.int64)
         own = {r: i for i, r in enumerate(rows[~asks])}
         for i, r in enumerate(rows[asks]):
