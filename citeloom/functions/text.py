@@ -60,18 +60,29 @@ def matchable_names(names: Iterable[str], include_unmatchable: bool = False) ->
     return [n for n in kept if include_unmatchable or n == n.title()]
 
 
-def _alternation(names: Sequence[str]) -> str:
-    """One regex branch per first character, longest name first inside it."""
-    ordered = sorted(set(names), key=lambda n: (n[0], -len(n), n))
+def _is_word(char: str) -> bool:
+    return re.match(r"[\w-]", char) is not None
+
+
+def _backwards(names: Sequence[str]) -> str:
+    """Reversed names as one regex branch per last character, longest name first inside it.
+
+    A name must not begin or end inside a word; at an edge that is no word
+    character there is nothing to check.
+    """
+    turned = sorted({n[::-1] for n in names}, key=lambda n: (n[0].lower(), -len(n), n))
     branches = []
-    for first, group in groupby(ordered, key=lambda n: n[0]):
-        rest = "|".join(re.escape(n[1:]) for n in group)
-        branches.append(f"{re.escape(first)}(?:{rest})")
+    for last, group in groupby(turned, key=lambda n: n[0].lower()):
+        rest = "|".join(
+            re.escape(n[1:]) + (rf"(?!{_WORD})" if _is_word(n[-1]) else "") for n in group
+        )
+        before = rf"(?<!{_WORD})" if _is_word(last[0]) else ""
+        branches.append(f"{before}{re.escape(last)}(?:{rest})")
     return "|".join(branches)
 
 
 def last_mention(text: Column, names: Iterable[str], include_unmatchable: bool = False) -> Column:
-    """Raw text of the mention that ends last (the longest one on a tie).
+    """Raw text of the mention that ends last (the longest one on a tie), in any case.
 
     The text and the names are reversed, so the first match of the scan is the
     last mention and the scan stops there: no explode, no shuffle.
@@ -79,9 +90,7 @@ def last_mention(text: Column, names: Iterable[str], include_unmatchable: bool =
     kept = matchable_names(names, include_unmatchable)
     if not kept:
         return F.lit(None).cast("string")
-    backwards = _alternation([n[::-1].lower() for n in kept])
-    pattern = rf"(?i)(?<!{_WORD})(?:{backwards})(?!{_WORD})"
-    return F.reverse(F.regexp_substr(F.reverse(text), F.lit(pattern)))
+    return F.reverse(F.regexp_substr(F.reverse(text), F.lit(f"(?iu)(?:{_backwards(kept)})")))
 
 
 def _segment_pattern(keywords: Sequence[str]) -> str:

@@ -10,12 +10,12 @@ from pyspark.sql import functions as F
 _SCHEMA = """
 MedlineCitation struct<
   PMID array<string>,
-  DateRevised struct<Year string>,
+  DateRevised struct<Year array<string>>,
   Article struct<
-    Journal struct<JournalIssue struct<PubDate struct<Year string>>>,
-    ArticleTitle string,
+    Journal struct<JournalIssue struct<PubDate struct<Year array<string>>>>,
+    ArticleTitle array<string>,
     AuthorList array<struct<Author array<struct<
-      LastName string, ForeName string, Initials string,
+      LastName array<string>, ForeName array<string>, Initials array<string>,
       Affiliation array<string>,
       AffiliationInfo array<struct<
         Affiliation array<string>,
@@ -81,6 +81,11 @@ def _joined(lists: Column) -> Column:
     return F.flatten(_present(lists))
 
 
+def _first(values: Column) -> Column:
+    """The first of several elements of one name."""
+    return F.get(values, F.lit(0))
+
+
 def _scalar(value: Column, missing: str, what: str) -> Column:
     """Text of one element under the missing-value policy.
 
@@ -106,9 +111,9 @@ def _author(a: Column, missing: str) -> Column:
     # An empty identifier and an absent one differ only under "strict".
     identity = F.get(grid, F.lit(0))["_VALUE"]
     return F.struct(
-        _scalar(a["ForeName"], missing, "ForeName").alias("forename"),
-        _scalar(a["LastName"], missing, "LastName").alias("lastname"),
-        _scalar(a["Initials"], missing, "Initials").alias("initials"),
+        _scalar(_first(a["ForeName"]), missing, "ForeName").alias("forename"),
+        _scalar(_first(a["LastName"]), missing, "LastName").alias("lastname"),
+        _scalar(_first(a["Initials"]), missing, "Initials").alias("initials"),
         _scalar(identity, missing, "GRID identifier").alias("identity"),
         _first_text(listed).alias("affiliation_name"),
         F.concat(
@@ -118,8 +123,8 @@ def _author(a: Column, missing: str) -> Column:
 
 
 def _year(source: str, missing: str) -> Column:
-    revised = F.col("MedlineCitation.DateRevised.Year")
-    published = F.col("MedlineCitation.Article.Journal.JournalIssue.PubDate.Year")
+    revised = _first(F.col("MedlineCitation.DateRevised.Year"))
+    published = _first(F.col("MedlineCitation.Article.Journal.JournalIssue.PubDate.Year"))
     if source == "mixed":
         # The value of one date, tested for presence on the other.
         return F.when(_blank_to_null(revised).isNotNull(), _blank_to_null(published)).otherwise(
@@ -164,7 +169,7 @@ def articles(
     pmid = F.get(F.col("MedlineCitation.PMID"), F.lit(0))
     return parse_records(records, fail_fast=fail_fast).select(
         *kept,
-        _scalar(F.col("MedlineCitation.Article.ArticleTitle"), missing, "ArticleTitle").alias(
+        _scalar(_first(F.col("MedlineCitation.Article.ArticleTitle")), missing, "ArticleTitle").alias(
             "title"
         ),
         _scalar(pmid, missing, "PMID").alias("pmid"),

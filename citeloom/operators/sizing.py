@@ -19,8 +19,8 @@ class BroadcastLimit:
     partitions.
     """
 
-    rows: int = 4_000_000
-    text_bytes: int = 256 * 1024 * 1024
+    rows: int = 1_000_000
+    text_bytes: int = 64 * 1024 * 1024
 
     def apply(self, table: DataFrame, rows: int | None, text_bytes: int | None) -> DataFrame:
         """Mark a table of the given measured size for broadcast, if it fits."""
@@ -31,7 +31,8 @@ class BroadcastLimit:
 DEFAULT_LIMIT = BroadcastLimit()
 
 
-def _measured(table: DataFrame, limit: BroadcastLimit) -> DataFrame:
+def measured(table: DataFrame, limit: BroadcastLimit = DEFAULT_LIMIT) -> DataFrame:
+    """The table, marked for broadcast if it fits."""
     width = F.lit(16)
     for name in table.columns:
         width = width + F.coalesce(F.octet_length(F.col(name).cast("string")), F.lit(0))
@@ -57,7 +58,7 @@ def left_lookup(
     """
     values = [c for c in table.columns if c != table_key]
     lookup = table.select(F.col(table_key).alias("_key"), *values)
-    checked = lookup if limit is None else _measured(lookup, limit)
+    checked = lookup if limit is None else measured(lookup, limit)
     if checked is not lookup:
         return df.join(checked, F.col(key) == F.col("_key"), "left").drop("_key")
     plain = [c for c, t in df.dtypes if "map<" not in t]

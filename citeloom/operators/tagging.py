@@ -20,10 +20,7 @@ from citeloom.functions.text import (
     last_mention,
     title_case,
 )
-from citeloom.operators.sizing import left_lookup
-
-# A list up to this length becomes one pattern inside the plan.
-MAX_INLINE_NAMES = 2_000
+from citeloom.operators.sizing import left_lookup, measured
 
 _TOKEN = r"[\p{L}\p{N}_-]+|[^\p{L}\p{N}_-]"
 
@@ -42,14 +39,12 @@ def tag_countries(
 ) -> DataFrame:
     """Add the last country mention as it stands in the text, or null.
 
-    A short list is searched row by row without a shuffle. A DataFrame with a
-    ``name`` column that is longer than ``MAX_INLINE_NAMES`` is joined instead.
+    The kind of ``countries`` decides how: given names become one pattern that
+    is searched row by row without a shuffle; a DataFrame with a ``name`` column
+    is joined and may have any length. Both follow the same rule.
     """
     if isinstance(countries, DataFrame):
-        head = countries.select("name").limit(MAX_INLINE_NAMES + 1).collect()
-        if len(head) > MAX_INLINE_NAMES:
-            return tag_from_dictionary(df, countries, column, output, include_unmatchable)
-        countries = [r["name"] for r in head]
+        return tag_from_dictionary(df, countries, column, output, include_unmatchable)
     return _tagged(df, last_mention(F.col(column), countries, include_unmatchable), output)
 
 
@@ -73,9 +68,7 @@ def tag_from_dictionary(
         F.max(F.size(F.regexp_extract_all("_known", F.lit(_TOKEN), F.lit(0)))).alias("n")
     ).first()["n"]
     texts = df.where(F.col(column).isNotNull()).select(F.col(column).alias("_text")).distinct()
-    # Spread by count, not by bytes: each text becomes many runs.
-    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    tokens = texts.repartition(partitions, F.xxhash64("_text")).withColumn("_tokens", F.regexp_extract_all("_text", F.lit(_TOKEN), F.lit(0)))
+    tokens = texts.withColumn("_tokens", F.regexp_extract_all("_text", F.lit(_TOKEN), F.lit(0)))
     runs = tokens.select(
         "_text",
         F.explode(
@@ -88,7 +81,8 @@ def tag_from_dictionary(
             )
         ).alias("_r"),
     ).select("_text", "_r.*")
-    hits = runs.join(known, F.lower("run") == F.col("_known"), "left_semi")
+    # Broadcast only if it measures small; the runs of all texts are many.
+    hits = runs.join(measured(known), F.lower("run") == F.col("_known"), "left_semi")
     last = hits.groupBy("_text").agg(F.max_by("run", F.struct("stop", "n")).alias(output))
     return left_lookup(df, column, last, "_text", limit=None)
 

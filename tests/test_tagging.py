@@ -1,5 +1,6 @@
 """Text extraction and tagging."""
 
+import random
 import re
 
 import pytest
@@ -97,13 +98,29 @@ def test_unmatchable_names(spark):
     assert values(spark, ["x"], text.last_mention(F.col("affiliation"), [])) == [None]
 
 
-def test_long_list_takes_the_join(spark, monkeypatch):
-    monkeypatch.setattr(tagging, "MAX_INLINE_NAMES", 10)
-    df = spark.createDataFrame([("Lima, Peru",)], "affiliation string")
-    names = spark.createDataFrame([(c,) for c in WORLD_COUNTRIES], "name string")
-    tagged = tagging.tag_countries(df, names)
-    assert "Join" in tagged._jdf.queryExecution().toString()
-    assert tagged.first().country == "Peru"
+def test_both_ways_follow_one_rule(spark):
+    names = ["Åland Islands", "{Xland}", "Łodz", "Peru", "São Tomé", "Nor-Way", "Côte D'Ivoire", "Öst", "East Öst"]
+    names += [f"Land{i}" for i in range(2_500)]
+    texts = [
+        "x Åland Islands", "ÅLAND ISLANDS, y", "łodz", "ŁODZ.", "abc{Xland} z", "{xland}", "aPeru", "Peru-x", "Peru_", "1Peru",
+        "SÃO TOMÉ; Peru", "Peru são tomé", "CÔTE D'IVOIRE", "nor-way", "East Öst", "eastöst", "öst, Land2499", "land1234x",
+        "LAND7 Land77", "", None, "none",
+    ]
+    draw = random.Random(4)
+    parts = [*names[:9], "land3", "x", "-", " ", ",", "é", "PERU", "öst"]
+    texts += ["".join(draw.choice(parts) for _ in range(draw.randint(1, 6))) for _ in range(300)]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "id int, affiliation string")
+    listed = tagging.tag_countries(df, names)
+    joined = tagging.tag_countries(df, spark.createDataFrame([(n,) for n in names], "name string"))
+    assert "Join" in joined._jdf.queryExecution().toString()
+    assert "Join" not in listed._jdf.queryExecution().toString()
+    a, b = ({r.id: r.country for r in t.collect()} for t in (listed, joined))
+    assert a == b
+    expected = [
+        "Åland Islands", "ÅLAND ISLANDS", "łodz", "ŁODZ", "{Xland}", "{xland}", None, None, None, None, "Peru", "são tomé",
+    ]
+    # A name that is not its own title case is never matched, as in a list of any length.
+    assert [a[i] for i in range(12)] == expected
 
 
 def test_country_tag_needs_no_shuffle(spark):

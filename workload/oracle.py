@@ -113,6 +113,11 @@ def _article(select: str, tail: str = "FROM article") -> str:
     return f"WITH {FLAT_SQL} SELECT {select} {tail}"
 
 
+# Articles with their place in the file of their supplier's nation.
+_NUMBERED = (
+    "FROM (SELECT *, row_number() OVER (PARTITION BY s_nationkey ORDER BY pmid) - 1 AS ordinal, "
+    "count(*) OVER (PARTITION BY s_nationkey) AS size FROM article)"
+)
 _KEY = "pmid, lastname, affiliation"
 _COUNTRY_TAIL = "FROM flat LEFT JOIN tagged USING (affiliation)"
 _RESOLVE_TAIL = (
@@ -170,6 +175,10 @@ ORACLE_SQL = {
     "record_ordinals": (
         "SELECT count(*) AS num_records, count(*) AS num_positions, 0::bigint AS gap FROM lineitem"
     ),
+    "first_articles": _article("ordinal, pmid, title", f"{_NUMBERED} WHERE ordinal < 50"),
+    "article_at": _article("pmid, 3 AS n", f"{_NUMBERED} WHERE ordinal = 3")
+    + f" UNION ALL SELECT pmid, -2 AS n {_NUMBERED} WHERE ordinal = size - 2",
+    "latest_drop_articles": _article("pmid, title", "FROM article WHERE s = 1"),
     "article_count": "SELECT count(*) AS num_articles FROM lineitem",
     "flatten": _flat(_FLAT_COLUMNS),
     "flatten_with_affiliation_name": _flat(f"{_FLAT_COLUMNS}, affiliation_name"),

@@ -121,17 +121,32 @@ def record_ordinals(spark, sf_dir):
     )
 
 
+def _numbered_files(spark, sf_dir):
+    path = view.record_files_by_nation(spark, sf_dir, new_stage_path(spark, "nation-files"))
+    return extract.articles(with_ordinal(scan_records(spark, path)))
+
+
 def first_articles(spark, sf_dir):
-    records = with_ordinal(scan_records(spark, _files(spark, sf_dir)))
-    return lookup.first_articles(extract.articles(records), 50).select("ordinal", "pmid", "title")
+    capped = lookup.first_articles(_numbered_files(spark, sf_dir), 50)
+    return capped.select("ordinal", "pmid", "title")
+
+
+def article_at(spark, sf_dir):
+    nested = _numbered_files(spark, sf_dir)
+    return lookup.article_at(nested, 3).select("pmid", F.lit(3).alias("n")).unionByName(
+        lookup.article_at(nested, -2).select("pmid", F.lit(-2).alias("n"))
+    )
 
 
 def article_count(spark, sf_dir):
-    return lookup.article_count(_parsed(spark, sf_dir))
+    return lookup.article_count(view.records(spark, sf_dir))
 
 
 def latest_drop_articles(spark, sf_dir):
-    newest = latest_path(spark, _files(spark, sf_dir), "*.txt")
+    prefix = new_stage_path(spark, "drops")
+    view.record_files(spark, sf_dir, f"{prefix}/early")
+    view.late_file(spark, sf_dir, f"{prefix}/late")
+    newest = latest_path(spark, prefix, "*.txt")
     return extract.articles(scan_records(spark, newest)).select("pmid", "title")
 
 
@@ -358,6 +373,7 @@ QUERIES = {
     "author_records": author_records,
     "record_ordinals": record_ordinals,
     "first_articles": first_articles,
+    "article_at": article_at,
     "article_count": article_count,
     "latest_drop_articles": latest_drop_articles,
     "flatten": flatten_rows,

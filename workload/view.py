@@ -187,6 +187,22 @@ def record_files(spark: SparkSession, sf_dir: str, path: str) -> str:
     return path
 
 
+def record_files_by_nation(spark: SparkSession, sf_dir: str, path: str) -> str:
+    """One file of records per supplier nation, ordered by number."""
+    rendered = base(spark, sf_dir).selectExpr(f"{_RECORD} AS record", "s_nationkey", "pmid")
+    order = ["s_nationkey", "pmid"]
+    ordered = rendered.repartition("s_nationkey").sortWithinPartitions(*order)
+    ordered.select("record", "s_nationkey").write.partitionBy("s_nationkey").text(path, compression="none")
+    return path
+
+
+def late_file(spark: SparkSession, sf_dir: str, path: str) -> str:
+    """One small file with the records of a single supplier."""
+    few = base(spark, sf_dir).where("s = 1").selectExpr(f"{_RECORD} AS record")
+    few.coalesce(1).write.text(path, compression="none")
+    return path
+
+
 # The same articles in columns, for queries that do not start from text.
 _TITLE_SHOWN = (
     "CASE WHEN n % 7 = 0 THEN NULL "
