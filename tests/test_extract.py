@@ -1,4 +1,4 @@
-"""Extraction against an independent reading of the same records by ElementTree."""
+"""Extraction against literal rows."""
 
 import pytest
 from pyspark.sql import functions as F
