@@ -68,17 +68,22 @@ def _backwards(names: Sequence[str]) -> str:
     """Reversed names as one regex branch per last character, longest name first inside it.
 
     A name must not begin or end inside a word; at an edge that is no word
-    character there is nothing to check.
+    character there is nothing to check. Branches that check both edges, nearly
+    all, share the checks.
     """
     turned = sorted({n[::-1] for n in names}, key=lambda n: (n[0].lower(), -len(n), n))
-    branches = []
+    shared, single = [], []
     for last, group in groupby(turned, key=lambda n: n[0].lower()):
-        rest = "|".join(
-            re.escape(n[1:]) + (rf"(?!{_WORD})" if _is_word(n[-1]) else "") for n in group
-        )
+        tails = [(re.escape(n[1:]), _is_word(n[-1])) for n in group]
+        if _is_word(last[0]) and all(word for _, word in tails):
+            shared.append(f"{re.escape(last)}(?:{'|'.join(t for t, _ in tails)})")
+            continue
+        rest = "|".join(t + (rf"(?!{_WORD})" if word else "") for t, word in tails)
         before = rf"(?<!{_WORD})" if _is_word(last[0]) else ""
-        branches.append(f"{before}{re.escape(last)}(?:{rest})")
-    return "|".join(branches)
+        single.append(f"{before}{re.escape(last)}(?:{rest})")
+    if shared:
+        single.insert(0, rf"(?<!{_WORD})(?:{'|'.join(shared)})(?!{_WORD})")
+    return "|".join(single)
 
 
 def last_mention(text: Column, names: Iterable[str], include_unmatchable: bool = False) -> Column:
