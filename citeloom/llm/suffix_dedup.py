@@ -205,7 +205,8 @@ def _block_rows(ids: list[int], texts: list[bytes], buckets: int) -> Iterator[tu
     trigger, content, owner = trigger[fresh], content[fresh], owner[fresh]
     _, group, members = np.unique(trigger, return_inverse=True, return_counts=True)
     hot = members[group] > HOT
-    own = (trigger * np.uint64(buckets)) >> np.uint64(48)
+    # Triggers are minima and lie close to zero, so they are mixed first.
+    own = _mix(trigger) % np.uint64(buckets)
     bucket = np.where(hot, _mix(trigger ^ (content << np.uint64(16))) % np.uint64(buckets), own).astype(np.int64)
     # A spread trigger still tells its own bucket that it is one.
     told = np.flatnonzero(hot & np.concatenate(([True], trigger[1:] != trigger[:-1])))
