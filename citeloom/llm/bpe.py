@@ -15,8 +15,9 @@ from pyspark.sql import functions as F
 
 from citeloom.llm.vocabulary import read_ranks
 
-#: Stretches, and words, in each of the two generations that a worker remembers.
-REMEMBERED = 400_000
+#: Stretches, and words outside the vocabulary, in each of the two generations that a worker
+#: remembers. A forgotten stretch costs little where its words are still known.
+REMEMBERED, REMEMBERED_WORDS = 125_000, 400_000
 #: Characters encoded at a time.
 PART = 1 << 20
 _MASK = (1 << 64) - 1
@@ -142,8 +143,8 @@ class Codec:
         self.find = regex.compile(self.pattern).findall
         self.apart = regex.compile(r"(?<=\S)(?= )", flags=regex.V1).split
         self.loose = regex.compile(r"^ |\s ").search
-        self.memory = _Memory(self.stretch)
-        self.words = _Memory(self.merges.ids)
+        self.memory = _Memory(self.stretch, REMEMBERED)
+        self.words = _Memory(self.merges.ids, REMEMBERED_WORDS)
 
     def __getstate__(self):
         return {k: v for k, v in self.__dict__.items() if k not in ("find", "apart", "loose", "memory", "words")}
@@ -154,13 +155,14 @@ class Codec:
 
     def stretch(self, text: str) -> tuple[int, ...]:
         ids: list[int] = []
+        split_before = self.words.get
         for word in self.find(text):
             data = word.encode()
-            known = self.whole.get(data)
-            if known is None:
-                ids += self.words[data]
-            else:
-                ids.append(known)
+            found = split_before(data)
+            if found is None:
+                known = self.whole.get(data)
+                found = self.words[data] if known is None else (known,)
+            ids += found
         return tuple(ids)
 
     def encode(self, text: str) -> Iterator[list[int]]:
@@ -198,10 +200,10 @@ class Codec:
 
 
 class _Memory(dict):
-    """Ids found before; what was not asked for among the last ``REMEMBERED`` new ones is forgotten."""
+    """Ids found before; what was not asked for among the last ``most`` new ones is forgotten."""
 
-    def __init__(self, find: Callable) -> None:
-        self.find = find
+    def __init__(self, find: Callable, most: int) -> None:
+        self.find, self.most = find, most
         self.former: dict = {}
 
     def __missing__(self, key):
@@ -209,7 +211,7 @@ class _Memory(dict):
         if found is None:
             found = self.find(key)
         if len(key) <= 64:
-            if len(self) >= REMEMBERED:
+            if len(self) >= self.most:
                 self.former = dict(self)
                 self.clear()
             self[key] = found
