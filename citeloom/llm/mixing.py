@@ -207,6 +207,21 @@ def _position(asked: Column, classes: int, schedules) -> Column:
     return found
 
 
+def by_first_position(plan: DataFrame, id_col: str = "doc_id") -> DataFrame:
+    """The rows of a plan, range-sorted by the training position of their first reading.
+
+    Documents of which nothing is taken come last, in the order of their stream,
+    so that no range has all of them.
+    """
+    order = [
+        F.col("first_position").asc_nulls_last(),
+        F.col("start").asc(),
+        F.col("source").asc_nulls_last(),
+        F.col(id_col).asc_nulls_first(),
+    ]
+    return plan.repartitionByRange(*order).sortWithinPartitions(*order)
+
+
 def training_order(
     plan: DataFrame,
     text_col: str | None = None,

@@ -21,10 +21,16 @@ def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    plan = mixing.plan_mix(table(spark, sf_dir, "documents"))
+    # In training order; the positions themselves are columns of op2_training_order.
+    plan = mixing.by_first_position(mixing.plan_mix(table(spark, sf_dir, "documents")))
     return plan.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op2_training_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    reads = mixing.training_order(mixing.plan_mix(table(spark, sf_dir, "documents")))
+    return reads.select("doc_id", "source", "pass", "words", "position")
+
+
 def op3_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_dedup.near_vectors(table(spark, sf_dir, "embeddings"))
 
@@ -71,6 +77,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_suffix_dedup": op1_suffix_dedup,
     "op2_mixing": op2_mixing,
+    "op2_training_order": op2_training_order,
     "op3_embedding_dedup": op3_embedding_dedup,
     "op4_sharding": op4_sharding,
     "op5_simhash": op5_simhash,

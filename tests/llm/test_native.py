@@ -2,6 +2,7 @@
 
 import zlib
 
+import numpy as np
 import pytest
 
 from citeloom.llm import mixing, sharding
@@ -93,6 +94,49 @@ def test_training_order_follows_the_schedule(spark):
     assert share["c"] == pytest.approx(0.375, abs=0.03)
 
 
+def _asked(knots, time):
+    """Share of the tokens that a schedule has asked for by ``time``, summed in small steps."""
+    grid = np.linspace(0, 1, 200_001)
+    rate = np.interp(grid, *zip(*knots, strict=True))
+    area = np.concatenate(([0], np.cumsum((rate[1:] + rate[:-1]) / 2)))
+    return np.interp(time, grid, area / area[-1])
+
+
+def test_the_query_is_in_training_order(spark):
+    from citeloom.llm.queries import QUERIES
+
+    path = "/root/testdata/sf0.001"
+    plan = mixing.plan_mix(spark.read.parquet(f"{path}/documents.parquet")).collect()
+    planned = {r.doc_id: r for r in plan}
+    assert len(planned) == len(plan)
+    for r in plan:
+        if r.taken:
+            assert _asked(mixing.SCHEDULES[r["class"]], r.first_position) == pytest.approx(r.start / r.quota, abs=1e-6)
+    got = [planned[r.doc_id] for r in QUERIES["op2_mixing"](spark, path).collect()]
+    assert len(got) == len(plan) and len({r.source for r in got}) > 1
+    key = [(r.first_position is None, r.first_position or 0.0, r.start) for r in got]
+    assert key == sorted(key) and {r.first_position is None for r in got} == {not r.taken for r in got}
+    reads = QUERIES["op2_training_order"](spark, path).collect()
+    assert [r.position for r in reads] == sorted(r.position for r in reads)
+    words = {}
+    for r in reads:
+        own = planned[r.doc_id]
+        asked = (r["pass"] * own.source_size + own.start) / own.quota
+        assert _asked(mixing.SCHEDULES[own["class"]], r.position) == pytest.approx(asked, abs=1e-6)
+        words[r.doc_id] = words.get(r.doc_id, 0) + r.words
+    assert words == {i: r.taken for i, r in planned.items() if r.taken}
+
+
+def test_untaken_rows_come_last(spark):
+    rows = [(i, "a b c d e", "aab"[i % 3]) for i in range(300)] + [(900 + i, "", "a") for i in range(9)]
+    got = mixing.by_first_position(mixing.plan_mix(_docs(spark, rows))).collect()
+    assert len(got) == len(rows)
+    firsts = [r.first_position for r in got]
+    taken = [f for f in firsts if f is not None]
+    assert taken == sorted(taken) and firsts[len(taken) :] == [None] * (len(got) - len(taken))
+    assert len(got) - len(taken) >= 9
+
+
 def test_mix_of_an_empty_table(spark):
     assert mixing.plan_mix(_docs(spark, [])).count() == 0
 
