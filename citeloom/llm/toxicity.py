@@ -6,6 +6,7 @@ import re
 from collections import Counter, deque
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -22,8 +23,8 @@ CANDIDATE_STEMS, STEM_LETTERS = 2_000, range(3, 11)
 NEGATION_REACH = 3
 #: Tokens remembered by a worker before it starts anew.
 REMEMBERED_TOKENS = 400_000
-#: Characters read at a time.
-PART = 1 << 20
+#: Characters read at a time, and stems sent at a time.
+PART, STEM_ROWS = 1 << 20, 1 << 16
 
 # Starting words of the classes, in English, German, French and Spanish.
 INSULTS = (
@@ -242,13 +243,14 @@ def _stem_counts(training: DataFrame) -> DataFrame:
                 seen.update(found)
                 if label.as_py():
                     toxic.update(found)
-        stems = list(toxic)  # others cannot qualify
-        if stems:
+        # A stem may be toxic in another task, so all are sent.
+        stems = iter(seen)
+        while some := list(islice(stems, STEM_ROWS)):
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array(stems),
-                    pa.array([seen[s] for s in stems], pa.int64()),
-                    pa.array([toxic[s] for s in stems], pa.int64()),
+                    pa.array(some),
+                    pa.array([seen[s] for s in some], pa.int64()),
+                    pa.array([toxic[s] for s in some], pa.int64()),
                 ],
                 ["stem", "seen", "toxic"],
             )

@@ -62,6 +62,15 @@ def test_greedy_stems():
     assert toxicity.choose_stems(present, []) == []
 
 
+@pytest.mark.parametrize("parts", [1, 4])
+def test_stem_counts_do_not_depend_on_partitions(spark, parts):
+    rows = [("calm grumfel day", 0)] * 9 + [("a grumfel here", 1)] * 4 + [("day by day", 0)] * 3
+    training = spark.createDataFrame(spark.sparkContext.parallelize(rows, parts), "text string, toxic int")
+    got = {r.stem: (r.seen, r.toxic) for r in toxicity._stem_counts(training).collect()}
+    assert got["grumfel"] == got["gru"] == (13, 4)
+    assert got["day"] == (12, 0)
+
+
 def test_learns_stems_and_holds_out(spark):
     draw = random.Random(5)
     calm = [f"word{i}" for i in range(200)]
