@@ -61,20 +61,23 @@ def _signed(value: int) -> int:
     return value - (1 << 64) if value >> 63 else value
 
 
-def with_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``(id, print)`` of every row; a null or wordless text has fingerprint 0."""
+def with_fingerprints(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", columns: tuple[str, ...] = ()
+) -> DataFrame:
+    """``(id, print)`` and ``columns`` of every row; a null or wordless text has fingerprint 0."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             prints = [_signed(fingerprint(cell.as_py() or b"")) for cell in batch.column(1)]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(prints, pa.int64())], ["id", "print"]
+                [batch.column(0), pa.array(prints, pa.int64()), *batch.columns[2:]], ["id", "print", *columns]
             )
 
     kind = docs.schema[id_col].dataType.simpleString()
+    kept = "".join(f", {c} {docs.schema[c].dataType.simpleString()}" for c in columns)
     return docs.select(
-        F.col(id_col).alias("id"), F.col(text_col).cast("binary").alias("data")
-    ).mapInArrow(run, f"id {kind}, print long")
+        F.col(id_col).alias("id"), F.col(text_col).cast("binary").alias("data"), *columns
+    ).mapInArrow(run, f"id {kind}, print long{kept}")
 
 
 # The tree
@@ -253,20 +256,17 @@ def print_links(prints: DataFrame, sample: int = SAMPLE, shard: int = SHARD) ->
     )
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Fingerprint and component of every row.
+def row_components(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", columns: tuple[str, ...] = ()
+) -> DataFrame:
+    """``id``, ``columns``, ``print``, ``component`` and ``component_id`` of every row.
 
-    Rows of equal fingerprint form a class before anything is compared, so
-    groups of copies cost one print. Result: id, ``fingerprint`` (16 hex
-    digits), ``component_id``, the smallest id reachable over links of at most
-    ``RADIUS`` differing bits. Null and wordless texts have fingerprint zero and
-    link like others; a null id never names a component unless it has no other;
-    repeated rows appear as often as given; an empty table gives no rows; other
-    columns are ignored.
+    ``component`` is a fingerprint and tells components apart even where an id
+    lies in several of them.
     """
     spark = docs.sparkSession
     rows = write_stage(
-        with_fingerprints(docs, id_col, text_col), new_stage_path(spark, "fingerprints")
+        with_fingerprints(docs, id_col, text_col, columns), new_stage_path(spark, "fingerprints")
     )
     classes = rows.groupBy("print").agg(F.min("id").alias("least"))
     labels = connected_components(print_links(classes.select("print")))
@@ -274,8 +274,22 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         "print", "least", F.coalesce("component", "print").alias("component")
     )
     named = grouped.groupBy("component").agg(F.min("least").alias("component_id"))
-    members = grouped.join(named, "component").select("print", "component_id")
-    return rows.join(members, "print").select(
+    members = grouped.join(named, "component").select("print", "component", "component_id")
+    return rows.join(members, "print")
+
+
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Fingerprint and component of every row.
+
+    Rows of equal fingerprint form a class before anything is compared, so
+    groups of copies cost one print. Result: id, ``fingerprint`` (16 hex
+    digits), ``component_id``, the smallest id reachable over links of at most
+    ``RADIUS`` differing bits. Null and wordless texts have fingerprint zero and
+    link like others; a null id never names a component unless it has no other;
+    repeated rows appear as often as given; an empty table gives no rows; other
+    columns are ignored.
+    """
+    return row_components(docs, id_col, text_col).select(
         F.col("id").alias(id_col),
         F.lower(F.lpad(F.hex("print"), 16, "0")).alias("fingerprint"),
         "component_id",

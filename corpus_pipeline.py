@@ -7,7 +7,7 @@ before the last return the columns of ``documents`` for the rows they keep.
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from citeloom.llm import bpe, mixing, simhash, suffix_dedup, toxicity
@@ -32,16 +32,27 @@ def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     return _unpacked(scored.where("predicted = 0"), docs.columns, "doc_id", "text")
 
 
+def _text_hash(text: Column) -> Column:
+    """A null text is not the empty one."""
+    return F.coalesce(F.sha2(text, 256), F.lit(""))
+
+
 def keep_one_of_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each SimHash component the document of smallest id stays.
+    """Of each SimHash component one row stays: of smallest id, then of smallest text hash.
 
     A row that repeats id and text stays once; rows without an id stay, as
     nothing tells which of them stands for which.
     """
-    groups = simhash.near_duplicates(docs).select("doc_id", "component_id")
-    chosen = groups.where("doc_id = component_id").select(F.col("doc_id").alias("chosen")).distinct()
+    hashed = docs.select("doc_id", "text", _text_hash(F.col("text")).alias("text_hash"))
+    rows = simhash.row_components(hashed, columns=("text_hash",)).where("id IS NOT NULL")
+    chosen = (
+        rows.groupBy("component")
+        .agg(F.min(F.struct("id", "text_hash")).alias("least"))
+        .select(F.col("least.id").alias("chosen"), F.col("least.text_hash").alias("chosen_hash"))
+    )
     known = docs.where("doc_id IS NOT NULL")
-    kept = known.join(chosen, known["doc_id"] == chosen["chosen"], "left_semi")
+    same = (known["doc_id"] == chosen["chosen"]) & (_text_hash(known["text"]) == chosen["chosen_hash"])
+    kept = known.join(chosen, same, "left_semi")
     return kept.dropDuplicates(["doc_id", "text"]).union(docs.where("doc_id IS NULL"))
 
 

@@ -153,3 +153,16 @@ def test_stages_take_an_empty_table(spark, tmp_path, k):
     _table(spark, tmp_path)
     docs = spark.read.parquet(f"{tmp_path}/documents.parquet").where("false")
     assert corpus_pipeline.STAGES[k][1](spark, docs, str(tmp_path)).count() == 0
+
+
+def test_one_row_of_a_component_stays_where_ids_repeat(spark):
+    rows = [
+        (1, "alpha beta gamma delta"), (1, "ALPHA beta gamma delta"), (1, "ALPHA beta gamma delta"),
+        (2, "some other words stand here"), (5, "SOME other words stand here"), (5, "a quite different line of text"),
+        (7, None), (7, ""), (None, "Alpha beta gamma delta"), (None, "Alpha beta gamma delta"),
+    ]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = [tuple(r) for r in corpus_pipeline.keep_one_of_near_duplicates(spark, docs, "").collect()]
+    one = min(rows[:2], key=lambda r: hashlib.sha256(r[1].encode()).hexdigest())
+    want = [one, rows[3], rows[5], rows[6], rows[8], rows[9]]
+    assert sorted(got, key=str) == sorted(want, key=str)
