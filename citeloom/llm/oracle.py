@@ -92,9 +92,51 @@ SELECT page_id, payload_bytes::BIGINT AS payload_bytes, payload_digest,
 FROM mains
 """
 
+_DIVERGENCE = """
+WITH texts AS (
+    SELECT row_number() OVER () AS doc, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+           regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                              '[^\\x00-\\x40\\x5B-\\x60\\x7B-\\x7F]+') AS terms
+    FROM documents
+), counts AS (
+    SELECT lang, source, term, count(*) AS n, count(DISTINCT doc) AS docs
+    FROM (SELECT doc, lang, source, unnest(terms) AS term FROM texts) GROUP BY ALL
+), kept AS (
+    SELECT lang, term, sum(n) AS lang_n FROM counts GROUP BY ALL HAVING sum(docs) >= 10
+), langs AS (
+    SELECT lang, count(*) AS v, sum(lang_n) AS total FROM kept GROUP BY lang
+), sources AS (
+    SELECT DISTINCT lang, source FROM texts
+), totals AS (
+    SELECT lang, source, sum(n) AS total FROM counts JOIN kept USING (lang, term) GROUP BY ALL
+), shares AS (
+    SELECT s.lang, s.source, k.term, coalesce(c.n, 0) AS n,
+           1 + 1000000000 * (coalesce(c.n, 0) + 2) // (coalesce(t.total, 0) + 2 * l.v) AS p,
+           1 + 1000000000 * (k.lang_n + 2) // (l.total + 2 * l.v) AS q
+    FROM sources s JOIN kept k USING (lang) JOIN langs l USING (lang)
+         LEFT JOIN totals t ON t.lang = s.lang AND t.source = s.source
+         LEFT JOIN counts c ON c.lang = s.lang AND c.source = s.source AND c.term = k.term
+), summed AS (
+    SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // (a.p + b.p)) AS value
+    FROM shares a JOIN shares b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL
+), pairs AS (
+    SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(m.value, 0)::BIGINT AS value
+    FROM sources a JOIN sources b ON a.lang = b.lang AND a.source <> b.source
+         LEFT JOIN summed m ON m.lang = a.lang AND m.source = a.source AND m.item = b.source
+), terms AS (
+    SELECT lang, source, 'term' AS part, term AS item, ((p - q) * (p - q) // (p + q))::BIGINT AS value
+    FROM shares WHERE n > 0 AND p > q
+), ranked AS (
+    SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item)::INTEGER AS rank
+    FROM (SELECT * FROM pairs UNION ALL SELECT * FROM terms)
+)
+SELECT lang, source, part, item, value, rank FROM ranked WHERE part = 'pair' OR rank <= 10
+"""
+
 ORACLE_SQL = {
     "op2_mixing": _MIXING,
     "op4_sharding": _SHARDING,
     "op6_warc": _WARC,
     "op8_topk": _TOPK,
+    "op13_divergence": _DIVERGENCE,
 }

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from citeloom.llm import bpe, embedding_dedup, mixing, sharding, simhash, suffix_dedup, token_counts, topk, toxicity, warc
+from citeloom.llm import bpe, divergence, embedding_dedup, mixing, sharding, simhash, suffix_dedup, token_counts, topk, toxicity, warc
 
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 
@@ -67,6 +67,10 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(table(spark, sf_dir, "documents"), codec)
 
 
+def op13_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit_sources(table(spark, sf_dir, "documents"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     # The stages are a file of their own at the top of the repository.
     import corpus_pipeline
@@ -86,5 +90,6 @@ QUERIES = {
     "op8_topk": op8_topk,
     "op9_token_counts": op9_token_counts,
     "op10_bpe": op10_bpe,
+    "op13_divergence": op13_divergence,
     "pipeline": pipeline,
 }
