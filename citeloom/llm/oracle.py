@@ -92,6 +92,40 @@ SELECT page_id, payload_bytes::BIGINT AS payload_bytes, payload_digest,
 FROM mains
 """
 
+_DECONTAMINATION = """
+WITH tests AS (
+    SELECT coalesce(item_id::VARCHAR, '') AS item,
+           regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                              '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS words
+    FROM benchmark
+), windows AS (
+    SELECT DISTINCT item, least(len(words), 10) AS n,
+           array_to_string(list_slice(words, pos, pos + least(len(words), 10) - 1), ' ') AS gram
+    FROM (SELECT item, words, unnest(range(1, greatest(len(words) - 9, 1) + 1)) AS pos FROM tests WHERE len(words) > 0)
+), texts AS (
+    SELECT row_number() OVER () AS row_no, doc_id,
+           regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                              '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS words
+    FROM documents
+), grams AS (
+    SELECT row_no, n, pos, array_to_string(list_slice(words, pos, pos + n - 1), ' ') AS gram
+    FROM (SELECT row_no, words, n, unnest(range(1, len(words) - n + 2)) AS pos
+          FROM texts, (SELECT DISTINCT n FROM windows))
+), found AS (
+    SELECT row_no, pos, n, item FROM grams JOIN windows USING (n, gram)
+), hits AS (
+    SELECT row_no, count(DISTINCT word) AS n_hit
+    FROM (SELECT row_no, unnest(range(pos, pos + n)) AS word FROM found) GROUP BY row_no
+), whose AS (
+    SELECT row_no, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS listed
+    FROM (SELECT DISTINCT row_no, item FROM found) GROUP BY row_no
+)
+SELECT doc_id, len(words)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit,
+       coalesce(n_items, 0)::BIGINT AS n_items, sha256(coalesce(listed, '')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AS contaminated
+FROM texts LEFT JOIN hits USING (row_no) LEFT JOIN whose USING (row_no)
+"""
+
 _DIVERGENCE = """
 WITH texts AS (
     SELECT row_number() OVER () AS doc, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
@@ -138,5 +172,6 @@ ORACLE_SQL = {
     "op4_sharding": _SHARDING,
     "op6_warc": _WARC,
     "op8_topk": _TOPK,
+    "op12_decontamination": _DECONTAMINATION,
     "op13_divergence": _DIVERGENCE,
 }

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from citeloom.llm import bpe, divergence, embedding_dedup, mixing, sharding, simhash, suffix_dedup, token_counts, topk, toxicity, warc
+from citeloom.llm import bpe, decontamination, divergence, embedding_dedup, mixing, sharding, simhash, suffix_dedup, token_counts, topk, toxicity, warc
 
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 
@@ -67,6 +67,20 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(table(spark, sf_dir, "documents"), codec)
 
 
+def op12_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, items = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    found = decontamination.find_overlaps(docs, items, columns=("doc_id",))
+    n_hit = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["first"])
+    return found.select(
+        "doc_id",
+        "n_words",
+        n_hit.alias("n_hit"),
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        (n_hit > 0).alias("contaminated"),
+    )
+
+
 def op13_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence.audit_sources(table(spark, sf_dir, "documents"))
 
@@ -90,6 +104,7 @@ QUERIES = {
     "op8_topk": op8_topk,
     "op9_token_counts": op9_token_counts,
     "op10_bpe": op10_bpe,
+    "op12_decontamination": op12_decontamination,
     "op13_divergence": op13_divergence,
     "pipeline": pipeline,
 }
