@@ -92,6 +92,29 @@ SELECT page_id, payload_bytes::BIGINT AS payload_bytes, payload_digest,
 FROM mains
 """
 
+_HARD_NEGATIVES = """
+WITH whole AS (
+    SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+           list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS terms
+    FROM embeddings
+    WHERE label IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+    SELECT a.vec_id AS anchor_id, b.vec_id, a.label = b.label AS alike,
+           list_inner_product(a.terms, b.terms)::BIGINT AS score
+    FROM whole a JOIN whole b ON a.vec_id % 50 = 0 AND a.vec_id <> b.vec_id
+), positives AS (
+    SELECT *, row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) AS place
+    FROM scored WHERE alike
+), ranked AS (
+    SELECT p.anchor_id, p.vec_id AS positive_id, n.vec_id AS negative_id, p.score AS positive_score,
+           n.score AS negative_score,
+           row_number() OVER (PARTITION BY p.anchor_id, p.vec_id ORDER BY n.score DESC, n.vec_id)::INTEGER AS rank
+    FROM positives p JOIN scored n ON p.anchor_id = n.anchor_id AND NOT n.alike
+    WHERE p.place <= 5 AND 50 * p.score <= 100 * n.score AND 100 * n.score <= 95 * p.score
+)
+SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM ranked WHERE rank <= 3
+"""
+
 _DECONTAMINATION = """
 WITH tests AS (
     SELECT coalesce(item_id::VARCHAR, '') AS item,
@@ -172,6 +195,7 @@ ORACLE_SQL = {
     "op4_sharding": _SHARDING,
     "op6_warc": _WARC,
     "op8_topk": _TOPK,
+    "op11_hard_negatives": _HARD_NEGATIVES,
     "op12_decontamination": _DECONTAMINATION,
     "op13_divergence": _DIVERGENCE,
 }

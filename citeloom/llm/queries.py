@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from citeloom.llm import bpe, decontamination, divergence, embedding_dedup, mixing, sharding, simhash, suffix_dedup, token_counts, topk, toxicity, warc
+from citeloom.llm import bpe, decontamination, divergence, embedding_dedup, hard_negatives, mixing, sharding, simhash, suffix_dedup, token_counts, topk, toxicity, warc
 
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 
@@ -67,6 +67,12 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(table(spark, sf_dir, "documents"), codec)
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = table(spark, sf_dir, "embeddings").withColumn("label", moved)
+    return hard_negatives.mine_hard_negatives(rows, F.col("vec_id") % 50 == 0)
+
+
 def op12_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, items = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
     found = decontamination.find_overlaps(docs, items, columns=("doc_id",))
@@ -104,6 +110,7 @@ QUERIES = {
     "op8_topk": op8_topk,
     "op9_token_counts": op9_token_counts,
     "op10_bpe": op10_bpe,
+    "op11_hard_negatives": op11_hard_negatives,
     "op12_decontamination": op12_decontamination,
     "op13_divergence": op13_divergence,
     "pipeline": pipeline,
