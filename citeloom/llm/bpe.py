@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Callable, Iterator
+import re
+from collections.abc import Callable, Iterable, Iterator
 from heapq import heapify, heappop, heappush
 from itertools import chain
 
@@ -15,12 +16,15 @@ from pyspark.sql import functions as F
 
 from citeloom.llm.vocabulary import read_ranks
 
-#: Stretches, and words outside the vocabulary, in each of the two generations that a worker
-#: remembers. A forgotten stretch costs little where its words are still known.
-REMEMBERED, REMEMBERED_WORDS = 125_000, 400_000
+#: Stretches, and pre-tokens that no space and letters make, in each of the two generations
+#: that a worker remembers.
+REMEMBERED, REMEMBERED_OTHERS = 300_000, 30_000
 #: Characters encoded at a time.
 PART = 1 << 20
 _MASK = (1 << 64) - 1
+#: Letters in every version of Unicode in use.
+_LETTERS = re.compile("[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]+").fullmatch
+_WHITE_BEFORE_SPACE = [chr(c) + " " for c in range(0x3001) if chr(c).isspace()]
 
 
 def _spread(digest: int, seed: int) -> int:
@@ -99,31 +103,35 @@ class Merges:
 
     def ids(self, word: bytes) -> tuple[int, ...]:
         get, shift = self.pairs.get, self.shift
-        part = [self.single[b] for b in word]
+        part: list = [*map(self.single.__getitem__, word)]
         n = len(part)
-        after, before = list(range(1, n + 1)), list(range(-1, n - 1))
-        heap = [
-            rank << 40 | i
-            for i in range(n - 1)
-            if (rank := get(part[i] << shift | part[i + 1])) is not None
-        ]
+        rank_at: list = [*map(get, [a << shift | b for a, b in zip(part, part[1:])]), None]
+        bits = n.bit_length()
+        low = (1 << bits) - 1
+        heap = [rank << bits | i for i, rank in enumerate(rank_at) if rank is not None]
         heapify(heap)
+        after, before = list(range(1, n + 1)), list(range(-1, n - 1))
         while heap:
             entry = heappop(heap)
-            i, rank = entry & 0xFFFFFFFFFF, entry >> 40
-            j, left = after[i], part[i]
-            if left < 0 or j >= n or get(left << shift | part[j]) != rank:
+            i, rank = entry & low, entry >> bits
+            if rank_at[i] != rank:
                 continue
-            part[i], part[j] = rank, -1
+            j = after[i]
             k = after[i] = after[j]
+            part[i], part[j], rank_at[j] = rank, None, None
+            found = None
             if k < n:
                 before[k] = i
-                if (found := get(rank << shift | part[k])) is not None:
-                    heappush(heap, found << 40 | i)
+                found = get(rank << shift | part[k])
+                if found is not None:
+                    heappush(heap, found << bits | i)
+            rank_at[i] = found
             k = before[i]
-            if k >= 0 and (found := get(part[k] << shift | rank)) is not None:
-                heappush(heap, found << 40 | k)
-        return tuple([x for x in part if x >= 0])
+            if k >= 0:
+                found = rank_at[k] = get(part[k] << shift | rank)
+                if found is not None:
+                    heappush(heap, found << bits | k)
+        return tuple([x for x in part if x is not None])
 
 
 class Codec:
@@ -142,43 +150,38 @@ class Codec:
     def _ready(self) -> None:
         self.find = regex.compile(self.pattern).findall
         self.apart = regex.compile(r"(?<=\S)(?= )", flags=regex.V1).split
-        self.loose = regex.compile(r"^ |\s ").search
-        self.memory = _Memory(self.stretch, REMEMBERED)
-        self.words = _Memory(self.merges.ids, REMEMBERED_WORDS)
+        # A word of letters is a pre-token where only apostrophes may come before it in the pattern.
+        first = next((a for a in self.pattern.split("|") if not a.startswith("'")), "")
+        self.letters = first == r" ?\p{L}+"
+        self.ids_of = _Stretches(self, lambda ids: ids, lambda parts: tuple(chain.from_iterable(parts)))
+        self.texts_of = _Stretches(self, self._texts, _joined_texts)
 
     def __getstate__(self):
-        return {k: v for k, v in self.__dict__.items() if k not in ("find", "apart", "loose", "memory", "words")}
+        return {k: v for k, v in self.__dict__.items() if k not in ("find", "apart", "ids_of", "texts_of")}
 
     def __setstate__(self, state):
         self.__dict__.update(state)
         self._ready()
 
-    def stretch(self, text: str) -> tuple[int, ...]:
-        ids: list[int] = []
-        split_before = self.words.get
-        for word in self.find(text):
-            data = word.encode()
-            found = split_before(data)
-            if found is None:
-                known = self.whole.get(data)
-                found = self.words[data] if known is None else (known,)
-            ids += found
-        return tuple(ids)
+    def piece(self, token: str) -> tuple[int, ...]:
+        """Ids of one pre-token."""
+        data = token.encode()
+        known = self.whole.get(data)
+        return self.merges.ids(data) if known is None else (known,)
+
+    def _texts(self, ids: tuple[int, ...]) -> tuple[bytes, bytes]:
+        return ",".join(map(self.names.__getitem__, ids)).encode(), self.decode(ids)
 
     def encode(self, text: str) -> Iterator[list[int]]:
-        """Ids of the whole text, some 10^5 to 10^6 at a time.
+        """Ids of the whole text, some 10^5 to 10^6 at a time."""
+        for part in self._parts(text):
+            yield list(chain.from_iterable(self.ids_of.each(part)))
 
-        No pre-token of a pattern in which white space is followed only by white
-        space crosses a space after a character that is no white space, so the
-        text is cut there and the stretches between are encoded once each.
-        """
+    def written(self, text: str) -> Iterator[tuple[bytes, bytes]]:
+        """The ids in decimal, joined by commas, and the bytes they decode to, part by part."""
         for part in self._parts(text):
-            if self.loose(part):
-                stretches = self.apart(part)
-            else:  # every space begins a stretch
-                first, *rest = part.split(" ")
-                stretches = [first, *(" " + x for x in rest)]
-            yield list(chain.from_iterable(map(self.memory.__getitem__, stretches)))
+            if part:
+                yield _joined_texts(self.texts_of.each(part))
 
     def _parts(self, text: str) -> Iterator[str]:
         at = 0
@@ -195,12 +198,53 @@ class Codec:
             at = cut
         yield text[at:]
 
-    def decode(self, ids: list[int]) -> bytes:
+    def decode(self, ids: Iterable[int]) -> bytes:
         return b"".join(map(self.pieces.__getitem__, ids))
 
 
+def _joined_texts(parts: list[tuple[bytes, bytes]]) -> tuple[bytes, bytes]:
+    return b",".join([p[0] for p in parts]), b"".join([p[1] for p in parts])
+
+
+class _Stretches:
+    """Remembers stretches of text, with what is made of their ids.
+
+    No pre-token of a pattern in which white space is followed only by white
+    space crosses a space after a character that is no white space, so a text
+    is cut there and the stretches between are encoded once each. They are
+    remembered by what follows the space.
+    """
+
+    def __init__(self, codec: Codec, made: Callable, joined: Callable) -> None:
+        self.codec, self.joined = codec, joined
+        self.spaced = _Memory(lambda rest: self.of(" " + rest), REMEMBERED)
+        self.others = _Memory(lambda token: made(codec.piece(token)), REMEMBERED_OTHERS)
+        self.made = made
+
+    def of(self, text: str):
+        """What is made of a stretch, from its pre-tokens."""
+        if self.codec.letters and _LETTERS(text, text[:1] == " "):
+            return self.made(self.codec.piece(text))
+        tokens = self.codec.find(text)
+        if len(tokens) == 1:
+            return self.made(self.codec.piece(text)) if tokens[0] == text else self.others[tokens[0]]
+        return self.joined([self._token(t) for t in tokens])
+
+    def _token(self, token: str):
+        if self.codec.letters and token[0] == " " and _LETTERS(token, 1):
+            return self.spaced[token[1:]]
+        return self.others[token]
+
+    def each(self, part: str) -> list:
+        spaced = self.spaced.__getitem__
+        if part[:1] == " " or any(white in part for white in _WHITE_BEFORE_SPACE):
+            return [spaced(s[1:]) if s[:1] == " " else self.of(s) for s in self.codec.apart(part)]
+        first, *rest = part.split(" ")  # every space begins a stretch
+        return [self.of(first), *map(spaced, rest)]
+
+
 class _Memory(dict):
-    """Ids found before; what was not asked for among the last ``most`` new ones is forgotten."""
+    """Found before; what was not asked for among the last ``most`` new ones is forgotten."""
 
     def __init__(self, find: Callable, most: int) -> None:
         self.find, self.most = find, most
@@ -256,18 +300,14 @@ def round_trip(docs: DataFrame, codec: Codec, id_col: str = "doc_id", text_col:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = shared.value
-        name = own.names.__getitem__
         for batch in batches:
             counts, listed, decoded = [], [], []
             for cell in batch.column(1):
                 n, of_ids, of_bytes = 0, hashlib.sha256(), hashlib.sha256()
-                for ids in own.encode(cell.as_py() or ""):
-                    if ids:
-                        if n:
-                            of_ids.update(b",")
-                        of_ids.update(",".join(map(name, ids)).encode())
-                        of_bytes.update(own.decode(ids))
-                        n += len(ids)
+                for ids, data in own.written(cell.as_py() or ""):
+                    of_ids.update(b"," + ids if n else ids)
+                    of_bytes.update(data)
+                    n += ids.count(b",") + 1
                 counts.append(n)
                 listed.append(of_ids.hexdigest())
                 decoded.append(of_bytes.hexdigest())
