@@ -107,6 +107,8 @@ def fit_tables(rows: int, width: int, cosine: float = COSINE, recall: float = RE
 
 def _unit(vectors: pa.Array, width: int) -> np.ndarray:
     raw = padded_matrix(vectors, width).astype(np.float64)
+    # By a power of two, which is exact, so that no square over- or underflows.
+    raw = np.ldexp(raw, -np.frexp(np.abs(raw).max(axis=1, initial=0))[1][:, None])
     return raw / np.linalg.norm(raw, axis=1, keepdims=True)
 
 
@@ -221,7 +223,8 @@ def near_vectors(
     Result: id, ``n_links``, ``component_id``, ``kept``. Vectors that are null,
     empty or zero, hold null or non-finite components, or have no id, link with
     nothing and are components of their own. Shorter vectors count as padded
-    with zeros. Repeated rows are rows of their own; an empty table gives no
+    with zeros. Repeated rows are rows of their own, also where one id has
+    several vectors; a component is named by the smallest id in it; an empty table gives no
     rows; other columns are ignored.
     """
     spark = vectors.sparkSession
@@ -237,7 +240,9 @@ def near_vectors(
     classes = write_stage(
         rows.where(F.col("vector").isNotNull())
         .groupBy("vector")
-        .agg(F.min("id").alias("id"), F.count("*").alias("copies")),
+        .agg(F.min("id").alias("least"), F.count("*").alias("copies"))
+        # Ids may stand for several vectors; a class has a number, fixed by the written table.
+        .withColumn("id", F.monotonically_increasing_id()),
         new_stage_path(spark, "vector-classes"),
     )
     n, width = classes.agg(F.count("*"), F.coalesce(F.max(F.size("vector")), F.lit(1))).first()
@@ -288,12 +293,14 @@ def near_vectors(
     )
     labels = connected_components(found.where("a <> b").select("a", "b"))
     sums = found.groupBy("a").agg(F.sum("links").alias("links"))
+    grouped = classes.join(labels, "id", "left").withColumn("group", F.coalesce("component", "id"))
+    names = grouped.groupBy("group").agg(F.min("least").alias("component_id"))
     named = (
-        classes.join(labels, "id", "left")
+        grouped.join(names, "group")
         .join(sums, F.col("id") == F.col("a"), "left")
         .select(
             "vector",
-            F.coalesce("component", "id").alias("component_id"),
+            "component_id",
             (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"),
         )
     )

@@ -182,3 +182,18 @@ def test_top_k(spark):
 def test_scores_beyond_64_bits_are_refused():
     with pytest.raises(OverflowError):
         topk.scatter_scores(np.array([[1 << 40]]), np.array([[1 << 40]]))
+
+
+def test_one_id_with_several_vectors_and_extreme_lengths(spark):
+    axis = lambda k, x=1.0: [x if i == k else 0.0 for i in range(8)]
+    near = [1.0, 0.1] + [0.0] * 6
+    rows = [(1, axis(0)), (1, axis(1)), (2, near), (3, axis(5)), (4, axis(4, 1e200)), (5, axis(4, 2e-200)), (5, axis(4, -1.0))]
+    rows += [(6, [0.0] * 4 + [1e200, 1e190, 0.0, 0.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = sorted(
+        ((r.vec_id, r.n_links, r.component_id, r.kept) for r in embedding_dedup.near_vectors(df).collect())
+    )
+    assert got == [
+        (1, 0, 1, True), (1, 1, 1, True), (2, 1, 1, False), (3, 0, 3, True),
+        (4, 2, 4, True), (5, 0, 5, True), (5, 2, 4, False), (6, 2, 4, False),
+    ]
