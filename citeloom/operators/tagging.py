@@ -48,6 +48,27 @@ def tag_countries(
     return _tagged(df, last_mention(F.col(column), countries, include_unmatchable), output)
 
 
+def dictionary_runs(df: DataFrame, known: DataFrame, column: str) -> DataFrame:
+    """``_text, stop, n, run``: the runs of words of each distinct text that may be a known name.
+
+    The names are indexed by their first word, with the most words that a name
+    beginning with it has. Only at such words a run begins, and none is longer;
+    ``known`` has the column ``_known``, in lower case.
+    """
+    words = F.regexp_extract_all("_known", F.lit(_TOKEN), F.lit(0))
+    index = known.groupBy(words[0].alias("_first")).agg(F.max(F.size(words)).alias("_longest"))
+    texts = df.where(F.col(column).isNotNull()).select(F.col(column).alias("_text")).distinct()
+    tokens = texts.withColumn("_tokens", F.regexp_extract_all("_text", F.lit(_TOKEN), F.lit(0)))
+    begun = (
+        tokens.select("_text", "_tokens", F.posexplode("_tokens").alias("_at", "_token"))
+        .join(measured(index), F.lower("_token") == F.col("_first"))
+        .withColumn("n", F.explode(F.expr("sequence(1, least(_longest, size(_tokens) - _at))")))
+        .withColumn("stop", F.col("_at") + F.col("n"))
+        .where(F.get("_tokens", F.col("stop") - 1) != " ")
+    )
+    return begun.select("_text", "stop", "n", F.concat_ws("", F.slice("_tokens", F.col("_at") + 1, F.col("n"))).alias("run"))
+
+
 def tag_from_dictionary(
     df: DataFrame,
     names: DataFrame,
@@ -57,30 +78,14 @@ def tag_from_dictionary(
 ) -> DataFrame:
     """The same tag for a dictionary of any length, by an equi-join.
 
-    Distinct texts are cut into runs of 1 to n words, n being the longest name;
-    runs that are in the dictionary stay, the one that ends last wins.
+    Distinct texts are cut into the runs of words that begin like a name; runs
+    that are in the dictionary stay, the one that ends last wins.
     """
     known = names.where(r"name <> '' AND NOT name RLIKE '^\\s|\\s$'")
     if not include_unmatchable:
         known = known.where(F.col("name") == title_case(F.col("name")))
     known = known.select(F.lower("name").alias("_known")).distinct()
-    longest = known.select(
-        F.max(F.size(F.regexp_extract_all("_known", F.lit(_TOKEN), F.lit(0)))).alias("n")
-    ).first()["n"]
-    texts = df.where(F.col(column).isNotNull()).select(F.col(column).alias("_text")).distinct()
-    tokens = texts.withColumn("_tokens", F.regexp_extract_all("_text", F.lit(_TOKEN), F.lit(0)))
-    runs = tokens.select(
-        "_text",
-        F.explode(
-            F.expr(
-                "flatten(transform("
-                "filter(sequence(1, size(_tokens)), e -> get(_tokens, e - 1) <> ' '), e -> transform("
-                f"filter(sequence(1, least(e, {longest or 1})), n -> get(_tokens, e - n) <> ' '), "
-                "n -> struct(e as stop, n as n, "
-                "concat_ws('', slice(_tokens, e - n + 1, n)) as run))))"
-            )
-        ).alias("_r"),
-    ).select("_text", "_r.*")
+    runs = dictionary_runs(df, known, column)
     # Broadcast only if it measures small; the runs of all texts are many.
     hits = runs.join(measured(known), F.lower("run") == F.col("_known"), "left_semi")
     last = hits.groupBy("_text").agg(F.max_by("run", F.struct("stop", "n")).alias(output))

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from citeloom.operators import extract, lookup
 from citeloom.operators.flatten import flatten
+from citeloom.sources import records
 from citeloom.sources.records import scan_records, with_ordinal
 
 RECORDS = [
@@ -218,3 +219,26 @@ def test_first_of_several_elements(spark):
     assert (found.pmid, found.title, found.year) == ("1", "t1", "2001")
     person = found.authors_info[0]
     assert (person.forename, person.lastname, person.initials) == (None, "a", "i")
+
+
+def test_a_file_cut_inside_a_record_is_named(spark, tmp_path):
+    record = "<PubmedArticle><MedlineCitation><PMID>{}</PMID></MedlineCitation></PubmedArticle>\n"
+    many = "".join(record.format(i) for i in range(500))
+    (tmp_path / "whole.xml").write_text(f"<PubmedArticleSet>{many}</PubmedArticleSet>")
+    (tmp_path / "lines.xml").write_text(many)
+    (tmp_path / "empty.xml").write_text("<PubmedArticleSet></PubmedArticleSet>")
+    assert records.truncated_files(spark, str(tmp_path)).count() == 0
+    records.require_complete(spark, str(tmp_path))
+    cut = f"<PubmedArticleSet>{many}"
+    (tmp_path / "cut.xml").write_text(cut[: len(cut) - 20])
+    (tmp_path / "edge.xml").write_text(cut[: -len("</PubmedArticle>\n")])
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        for size in ("4k", before):  # over several splits, and in one
+            spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+            found = records.truncated_files(spark, str(tmp_path)).collect()
+            assert sorted(r.file.rsplit("/", 1)[-1] for r in found) == ["cut.xml", "edge.xml"]
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    with pytest.raises(ValueError, match="cut.xml"):
+        records.require_complete(spark, str(tmp_path))

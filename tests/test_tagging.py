@@ -152,3 +152,17 @@ def test_computed_columns(spark):
         with_contact_columns(df), {"n": F.length("affiliation"), "zipcode": F.lit("z")}
     ).first()
     assert (row.author_email, row.zipcode, row.n) == ("a@b.cd", "z", 12)
+
+
+def test_runs_begin_like_a_name_only(spark):
+    names = [n.lower() for n in WORLD_COUNTRIES] + ["bosnia", "bosnia herzegovina north west"]
+    known = spark.createDataFrame([(n,) for n in names], "_known string")
+    text = "Department of Clinical Medicine and Surgery, Harbor University Hospital, Saint Albans, "
+    rows = [(text + f"Room {i}, Bosnia Herzegovina, France",) for i in range(50)]
+    df = spark.createDataFrame(rows, "affiliation string")
+    runs = tagging.dictionary_runs(df, known, "affiliation")
+    of_one = [r.run for r in runs.collect() if "Room 7," in r._text]
+    assert {"Bosnia", "Bosnia Herzegovina", "France"} <= set(of_one)
+    longest = 7  # words and spaces of the longest name
+    tokens = len(re.findall(r"[\w-]+|[^\w-]", rows[7][0]))
+    assert len(of_one) * 10 <= tokens * longest

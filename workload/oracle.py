@@ -7,7 +7,7 @@ pairs are compared, countries are found by position, nothing is parsed.
 from __future__ import annotations
 
 from citeloom.functions.fixed import EMAIL_PATTERN, WORLD_COUNTRIES, ZIPCODE_PATTERN
-from workload.view import BASE_SQL, DICTIONARY_SQL, FLAT_SQL, _TITLE_SHOWN
+from workload.view import BASE_SQL, DICTIONARY_SQL, FLAT_SQL, LATE_YEAR, _TITLE_SHOWN
 
 _FULL_NAME = "forename || ' ' || lastname AS full_name"
 _EMAIL = f"nullif(regexp_extract(affiliation, '{EMAIL_PATTERN}'), '') AS author_email"
@@ -63,14 +63,14 @@ list_reduce(
   list_transform(range(0, length({a}) + 1), lambda i: cast(0 AS bigint)))[-1]"""
 
 
-def _ratio_sql(source: str) -> str:
+def _ratio_sql(source: str, tenths: int = 1) -> str:
     lcs = _LCS.format(a="mention", b="name")
     return f"""
 near AS (SELECT mention, name, ordinal FROM {source}, institutes
-  WHERE levenshtein(mention, name) <= (length(mention) + length(name)) // 10),
+  WHERE levenshtein(mention, name) <= {tenths} * (length(mention) + length(name)) // 10),
 rated AS (SELECT mention, name, ordinal, {lcs} AS common FROM near),
 first_ratio AS (SELECT mention, arg_min(name, ordinal) AS match FROM rated
-  WHERE 10 * (length(mention) + length(name) - 2 * common) <= length(mention) + length(name)
+  WHERE 10 * (length(mention) + length(name) - 2 * common) <= {tenths} * (length(mention) + length(name))
   GROUP BY mention)"""
 
 
@@ -178,7 +178,7 @@ ORACLE_SQL = {
     "first_articles": _article("ordinal, pmid, title", f"{_NUMBERED} WHERE ordinal < 50"),
     "article_at": _article("pmid, 3 AS n", f"{_NUMBERED} WHERE ordinal = 3")
     + f" UNION ALL SELECT pmid, -2 AS n {_NUMBERED} WHERE ordinal = size - 2",
-    "latest_drop_articles": _article("pmid, title", "FROM article WHERE s = 1"),
+    "latest_drop_articles": _article("pmid, title", f"FROM article WHERE year(o_orderdate) = {LATE_YEAR}"),
     "article_count": "SELECT count(*) AS num_articles FROM lineitem",
     "flatten": _flat(_FLAT_COLUMNS),
     "flatten_with_affiliation_name": _flat(f"{_FLAT_COLUMNS}, affiliation_name"),
@@ -222,6 +222,20 @@ SELECT s_suppkey, mention, match FROM spoiled LEFT JOIN best USING (mention)""",
         DICTIONARY_SQL, _MENTIONS_SQL, _ratio_sql("mentions"),
         tail="FROM mentioned LEFT JOIN first_ratio ON institutions = mention",
     ),
+    "fuzzy_ratio_low": _flat(
+        f"{_KEY}, institutions, match AS grid_institutions",
+        DICTIONARY_SQL, _MENTIONS_SQL, _ratio_sql("mentions", 2),
+        tail="FROM mentioned LEFT JOIN first_ratio ON institutions = mention",
+    ),
+    "fuzzy_long_names": """
+WITH long AS (SELECT s_suppkey, s_name || ', ' || repeat(s_address || '; ', 3) || s_name AS name FROM supplier),
+spoiled AS (SELECT s_suppkey, substr(name, 4, 20) || 'x' || substr(name, 26) AS mention FROM long),
+near AS (SELECT mention, name, l.s_suppkey AS ordinal FROM (SELECT DISTINCT mention FROM spoiled), long l
+  WHERE levenshtein(mention, name) <= (length(mention) + length(name)) // 10),
+rated AS (SELECT mention, name, ordinal, """ + _LCS.format(a="mention", b="name") + """ AS common FROM near),
+first_ratio AS (SELECT mention, arg_min(name, ordinal) AS match FROM rated
+  WHERE 10 * (length(mention) + length(name) - 2 * common) <= length(mention) + length(name) GROUP BY mention)
+SELECT s_suppkey, mention, match FROM spoiled LEFT JOIN first_ratio USING (mention)""",
     "fuzzy_ratio_arrays": _flat(
         f"{_KEY}, grid_institutions",
         DICTIONARY_SQL, _MENTIONS_SQL, _ratio_sql("all_mentions"),

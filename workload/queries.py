@@ -257,6 +257,23 @@ def fuzzy_first_ratio(spark, sf_dir):
     )
 
 
+def fuzzy_ratio_low(spark, sf_dir):
+    return similarity.match_column(
+        _first_tagged(spark, sf_dir), "institutions", view.institutes(spark, sf_dir),
+        scorer="ratio", threshold=0.8,
+    )
+
+
+def fuzzy_long_names(spark, sf_dir):
+    supplier = view.table(spark, sf_dir, "supplier")
+    long = supplier.selectExpr(
+        "s_suppkey", "s_name || ', ' || repeat(s_address || '; ', 3) || s_name AS name"
+    )
+    spoiled = long.selectExpr("s_suppkey", "substr(name, 4, 20) || 'x' || substr(name, 26) AS mention")
+    table = similarity.first_ratio_table(spoiled.select("mention").distinct(), long, ordinal="s_suppkey")
+    return spoiled.join(table, "mention", "left").select("s_suppkey", "mention", "match")
+
+
 def fuzzy_ratio_arrays(spark, sf_dir):
     matched = similarity.match_array(
         _all_tagged(spark, sf_dir), "institutions", view.institutes(spark, sf_dir)
@@ -392,6 +409,8 @@ QUERIES = {
     "fuzzy_best": fuzzy_best,
     "fuzzy_supplier_names": fuzzy_supplier_names,
     "fuzzy_first_ratio": fuzzy_first_ratio,
+    "fuzzy_ratio_low": fuzzy_ratio_low,
+    "fuzzy_long_names": fuzzy_long_names,
     "fuzzy_ratio_arrays": fuzzy_ratio_arrays,
     "partial_last": partial_last,
     "resolve_grid": _resolve,
