@@ -228,7 +228,7 @@ SELECT s_suppkey, mention, match FROM spoiled LEFT JOIN best USING (mention)""",
         tail="FROM mentioned LEFT JOIN first_ratio ON institutions = mention",
     ),
     "fuzzy_long_names": """
-WITH long AS (SELECT s_suppkey, s_name || ', ' || repeat(s_address || '; ', 3) || s_name AS name FROM supplier),
+WITH long AS (SELECT s_suppkey, s_name || ', ' || repeat(s_name || '; ', 4) || s_name AS name FROM supplier),
 spoiled AS (SELECT s_suppkey, substr(name, 4, 20) || 'x' || substr(name, 26) AS mention FROM long),
 near AS (SELECT mention, name, l.s_suppkey AS ordinal FROM (SELECT DISTINCT mention FROM spoiled), long l
   WHERE levenshtein(mention, name) <= (length(mention) + length(name)) // 10),

@@ -267,7 +267,7 @@ def fuzzy_ratio_low(spark, sf_dir):
 def fuzzy_long_names(spark, sf_dir):
     supplier = view.table(spark, sf_dir, "supplier")
     long = supplier.selectExpr(
-        "s_suppkey", "s_name || ', ' || repeat(s_address || '; ', 3) || s_name AS name"
+        "s_suppkey", "s_name || ', ' || repeat(s_name || '; ', 4) || s_name AS name"
     )
     spoiled = long.selectExpr("s_suppkey", "substr(name, 4, 20) || 'x' || substr(name, 26) AS mention")
     table = similarity.first_ratio_table(spoiled.select("mention").distinct(), long, ordinal="s_suppkey")
