@@ -227,15 +227,6 @@ SELECT s_suppkey, mention, match FROM spoiled LEFT JOIN best USING (mention)""",
         DICTIONARY_SQL, _MENTIONS_SQL, _ratio_sql("mentions", 2),
         tail="FROM mentioned LEFT JOIN first_ratio ON institutions = mention",
     ),
-    "fuzzy_long_names": """
-WITH long AS (SELECT s_suppkey, s_name || ', ' || repeat(s_name || '; ', 4) || s_name AS name FROM supplier),
-spoiled AS (SELECT s_suppkey, substr(name, 4, 20) || 'x' || substr(name, 26) AS mention FROM long),
-near AS (SELECT mention, name, l.s_suppkey AS ordinal FROM (SELECT DISTINCT mention FROM spoiled), long l
-  WHERE levenshtein(mention, name) <= (length(mention) + length(name)) // 10),
-rated AS (SELECT mention, name, ordinal, """ + _LCS.format(a="mention", b="name") + """ AS common FROM near),
-first_ratio AS (SELECT mention, arg_min(name, ordinal) AS match FROM rated
-  WHERE 10 * (length(mention) + length(name) - 2 * common) <= length(mention) + length(name) GROUP BY mention)
-SELECT s_suppkey, mention, match FROM spoiled LEFT JOIN first_ratio USING (mention)""",
     "fuzzy_ratio_arrays": _flat(
         f"{_KEY}, grid_institutions",
         DICTIONARY_SQL, _MENTIONS_SQL, _ratio_sql("all_mentions"),
