@@ -7,8 +7,8 @@ WITH sized AS (
     FROM documents
 ), sources AS (
     SELECT source, sum(size)::BIGINT AS source_size,
-           CASE (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3
-               WHEN 0 THEN 5 WHEN 1 THEN 2 ELSE 1 END AS weight
+           (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 AS class,
+           CASE class WHEN 0 THEN 5 WHEN 1 THEN 2 ELSE 1 END AS weight
     FROM sized GROUP BY source
 ), levels AS (
     SELECT *, 3 * source_size AS ceiling,
@@ -18,22 +18,29 @@ WITH sized AS (
     WINDOW before AS (ORDER BY 3 * source_size::DOUBLE / weight, source NULLS LAST
                       ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
 ), targets AS (
-    SELECT source, source_size,
+    SELECT source, source_size, class,
            least(ceiling::DOUBLE,
                  coalesce(weight * max(level) FILTER (WHERE ceiling::DOUBLE / weight >= level) OVER (),
                           ceiling::DOUBLE)) AS target
     FROM levels
 ), placed AS (
-    SELECT d.doc_id, d.size, t.source_size, t.target, round(t.target)::BIGINT AS quota,
+    SELECT d.doc_id, d.size, t.class, t.source_size, t.target, round(t.target)::BIGINT AS quota,
            (sum(d.size) OVER (PARTITION BY d.source ORDER BY d.key, d.doc_id NULLS FIRST, d.size
                               ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) - d.size)::BIGINT AS start
     FROM sized d JOIN targets t ON d.source IS NOT DISTINCT FROM t.source
 )
-SELECT doc_id, size, source_size, target,
-       CASE WHEN source_size = 0 THEN 0
-            ELSE (quota // source_size) * size
-                 + greatest(0, least(size, quota % source_size - start)) END::BIGINT AS taken
-FROM placed
+SELECT doc_id, size, source_size, target, taken, full_passes,
+       CASE WHEN taken > 0 THEN least(1, CASE class
+           WHEN 0 THEN CASE WHEN share < 0.625 THEN 1.5 - sqrt(2.25 - 2 * share)
+                            ELSE 0.5 + (1 - sqrt(1 - 2 * (share - 0.625))) END
+           WHEN 1 THEN share
+           ELSE CASE WHEN share < 0.375 THEN sqrt(0.25::DOUBLE + 2 * share) - 0.5
+                     ELSE 0.5 + (sqrt(1 + 2 * (share - 0.375)) - 1) END END) END::DOUBLE AS first_position
+FROM (
+    SELECT *, start::DOUBLE / greatest(quota, 1) AS share,
+           full_passes * size + greatest(0, least(size, quota - full_passes * source_size - start))::BIGINT AS taken
+    FROM (SELECT *, CASE WHEN source_size = 0 THEN 0 ELSE quota // source_size END::BIGINT AS full_passes FROM placed)
+)
 """
 
 # The checksum's table follows from its reversed polynomial.

@@ -21,9 +21,10 @@ def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    # In training order; the positions themselves are columns of op2_training_order.
     plan = mixing.by_first_position(mixing.plan_mix(table(spark, sf_dir, "documents")))
-    return plan.select("doc_id", "size", "source_size", "target", "taken")
+    return plan.select(
+        "doc_id", "size", "source_size", "target", "taken", "full_passes", "first_position"
+    )
 
 
 def op2_training_order(spark: SparkSession, sf_dir: str) -> DataFrame:
