@@ -5,26 +5,49 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Narrow on purpose: the XML parser builds every declared field. Leaf elements
-# are text; an attribute is declared only where a rule reads it.
-_SCHEMA = """
-MedlineCitation struct<
-  PMID array<string>,
-  DateRevised struct<Year array<string>>,
-  Article struct<
-    Journal struct<JournalIssue struct<PubDate struct<Year array<string>>>>,
-    ArticleTitle array<string>,
-    AuthorList array<struct<Author array<struct<
-      LastName array<string>, ForeName array<string>, Initials array<string>,
-      Affiliation array<string>,
-      AffiliationInfo array<struct<
-        Affiliation array<string>,
-        Identifier array<struct<_VALUE string, _Source string>>>>>>>>>,
-  MeshHeadingList array<struct<MeshHeading array<struct<
-    DescriptorName array<struct<_VALUE string, _UI string>>>>>>,
-  KeywordList array<struct<Keyword array<string>>>>,
-_malformed string
-"""
+FIELDS = ("title", "pmid", "year", "keyword_list", "mesh_list", "authors_info")
+#: An article without its authors.
+METADATA = FIELDS[:-1]
+MISSING_POLICIES = ("null", "empty", "strict")
+YEAR_SOURCES = ("revised", "published", "mixed")
+
+# Narrow on purpose: the XML parser builds every declared element, so only those
+# are declared that a wanted field reads. Leaf elements are text; an attribute is
+# declared only where a rule reads it.
+_REVISED = "DateRevised struct<Year array<string>>"
+_PUBLISHED = "Journal struct<JournalIssue struct<PubDate struct<Year array<string>>>>"
+_AUTHORS = """AuthorList array<struct<Author array<struct<
+  LastName array<string>, ForeName array<string>, Initials array<string>,
+  AffiliationInfo array<struct<
+    Affiliation array<string>,
+    DirectAffiliation array<string>,
+    Identifier array<struct<_VALUE string, _Source string>>>>>>>>"""
+_MESH = """MeshHeadingList array<struct<MeshHeading array<struct<
+  DescriptorName array<struct<_VALUE string, _UI string>>>>>>"""
+_KEYWORDS = "KeywordList array<struct<Keyword array<string>>>"
+
+
+def record_schema(fields: tuple[str, ...] = FIELDS, year_source: str = "revised") -> str:
+    """The part of a record that the given fields are read from."""
+    in_article, in_citation = [], []
+    if "pmid" in fields:
+        in_citation.append("PMID array<string>")
+    if "year" in fields and year_source != "published":
+        in_citation.append(_REVISED)
+    if "year" in fields and year_source != "revised":
+        in_article.append(_PUBLISHED)
+    if "title" in fields:
+        in_article.append("ArticleTitle array<string>")
+    if "authors_info" in fields:
+        in_article.append(_AUTHORS)
+    if in_article:
+        in_citation.append(f"Article struct<{', '.join(in_article)}>")
+    if "mesh_list" in fields:
+        in_citation.append(_MESH)
+    if "keyword_list" in fields:
+        in_citation.append(_KEYWORDS)
+    return f"MedlineCitation struct<{', '.join(in_citation)}>"
+
 
 _LEAVES = (
     "PMID|Year|ArticleTitle|LastName|ForeName|Initials|Affiliation|Identifier"
@@ -36,22 +59,41 @@ _MIXED = (
     rf"(?s)<({_LEAVES})((?:\s[^>]*+(?<!/))?+)>"
     r"((?:[^<]++|<!--.*?-->|<!\[CDATA\[.*?\]\]>)*+)<(?![/!]).*?</\1\s*>"
 )
-
-MISSING_POLICIES = ("null", "empty", "strict")
-YEAR_SOURCES = ("revised", "published", "mixed")
+# An affiliation whose tag does not follow the opening of a listed one may stand
+# directly below its author. Each direct one gets an element of its own among
+# the listed, under another name, so that all of them parse into one list.
+_MAYBE_DIRECT = r"<Affiliation(?<!<AffiliationInfo>\s{0,64}<Affiliation)[\s/>]"
+_LISTED_OR_DIRECT = (
+    r"(?s)(<AffiliationInfo(?:\s[^>]*+(?<!/))?+>.*?</AffiliationInfo\s*>)"
+    r"|<(Affiliation)(?:\s[^>/]*+)?+(?:/>|>(.*?)</Affiliation\s*>)"
+)
+_AS_LISTED = "$1<AffiliationInfo><Direct$2>$3</Direct$2></AffiliationInfo>"
 
 
-def parse_records(records: DataFrame, column: str = "record", fail_fast: bool = False) -> DataFrame:
+def parse_records(
+    records: DataFrame,
+    column: str = "record",
+    fail_fast: bool = False,
+    fields: tuple[str, ...] = FIELDS,
+    year_source: str = "revised",
+) -> DataFrame:
     """Parse the record text once; adds ``MedlineCitation`` and ``_malformed``.
 
-    A record that is no well-formed XML keeps its text in ``_malformed`` and
-    yields null fields, or fails the job with ``fail_fast``.
+    Only the elements that ``fields`` need are built. A record that is no
+    well-formed XML keeps its text in ``_malformed`` and yields null fields, or
+    fails the job with ``fail_fast``.
     """
     text = F.regexp_replace(column, _MIXED, "<$1$2>$3</$1>")
+    if "authors_info" in fields:
+        text = F.when(
+            F.col(column).rlike(_MAYBE_DIRECT), F.regexp_replace(text, _LISTED_OR_DIRECT, _AS_LISTED)
+        ).otherwise(text)
     options = {"ignoreSurroundingSpaces": "false", "columnNameOfCorruptRecord": "_malformed"}
     if fail_fast:
         options["mode"] = "FAILFAST"
-    schema = _SCHEMA.rsplit(",\n_malformed", 1)[0] if fail_fast else _SCHEMA
+    schema = record_schema(fields, year_source)
+    if not fail_fast:
+        schema += ", _malformed string"
     others = [c for c in records.columns if c != column]
     # inline() keeps the parse below a generator, so it runs once per record
     # however many of its fields are used above.
@@ -103,8 +145,12 @@ def _scalar(value: Column, missing: str, what: str) -> Column:
 
 def _author(a: Column, missing: str) -> Column:
     info = _present(a["AffiliationInfo"])
+    none = F.array().cast("array<string>")
     listed = _joined(F.transform(info, lambda i: i["Affiliation"]))
-    direct = F.coalesce(a["Affiliation"], F.array().cast("array<string>"))
+    everywhere = F.transform(
+        info,
+        lambda i: F.concat(F.coalesce(i["DirectAffiliation"], none), F.coalesce(i["Affiliation"], none)),
+    )
     grid = F.filter(
         _joined(F.transform(info, lambda i: i["Identifier"])), lambda i: i["_Source"] == "GRID"
     )
@@ -116,9 +162,7 @@ def _author(a: Column, missing: str) -> Column:
         _scalar(_first(a["Initials"]), missing, "Initials").alias("initials"),
         _scalar(identity, missing, "GRID identifier").alias("identity"),
         _first_text(listed).alias("affiliation_name"),
-        F.concat(
-            _texts(direct), F.coalesce(_texts(listed), F.array().cast("array<string>"))
-        ).alias("affiliation"),
+        _texts(_joined(everywhere)).alias("affiliation"),
     )
 
 
@@ -144,48 +188,56 @@ def articles(
     missing: str = "null",
     missing_author: str | None = None,
     fail_fast: bool = False,
+    fields: tuple[str, ...] = FIELDS,
 ) -> DataFrame:
     """Nested articles: title, pmid, year, keyword_list, mesh_list, authors_info.
 
     Other columns of ``records`` (file, block, ordinal) are kept in front.
     ``missing`` governs title, pmid and year, ``missing_author`` the author
-    scalars (the same policy when not given).
+    scalars (the same policy when not given). Only the given ``fields`` are
+    parsed and returned, in the order above; a strict policy looks at no other.
     """
     _check(year_source, YEAR_SOURCES, "year_source")
     _check(missing, MISSING_POLICIES, "missing")
     author_policy = missing if missing_author is None else missing_author
     _check(author_policy, MISSING_POLICIES, "missing_author")
+    if not fields:
+        raise ValueError(f"fields must name some of {', '.join(FIELDS)}")
+    for field in fields:
+        _check(field, FIELDS, "fields")
     kept = [c for c in records.columns if c != "record"]
-    authors = _joined(F.col("MedlineCitation.Article.AuthorList.Author"))
-    mesh = F.filter(
-        _joined(
-            F.transform(
-                _joined(F.col("MedlineCitation.MeshHeadingList.MeshHeading")),
-                lambda h: h["DescriptorName"],
-            )
+    rules = {
+        "title": lambda: _scalar(
+            _first(F.col("MedlineCitation.Article.ArticleTitle")), missing, "ArticleTitle"
         ),
-        lambda d: d["_UI"].isNotNull(),
-    )
-    pmid = F.get(F.col("MedlineCitation.PMID"), F.lit(0))
-    return parse_records(records, fail_fast=fail_fast).select(
+        "pmid": lambda: _scalar(_first(F.col("MedlineCitation.PMID")), missing, "PMID"),
+        "year": lambda: _year(year_source, missing),
+        "keyword_list": lambda: _texts(_joined(F.col("MedlineCitation.KeywordList.Keyword"))),
+        "mesh_list": _mesh_texts,
+        "authors_info": lambda: _people(author_policy),
+    }
+    parsed = parse_records(records, fail_fast=fail_fast, fields=fields, year_source=year_source)
+    return parsed.select(
         *kept,
-        _scalar(_first(F.col("MedlineCitation.Article.ArticleTitle")), missing, "ArticleTitle").alias(
-            "title"
-        ),
-        _scalar(pmid, missing, "PMID").alias("pmid"),
-        _year(year_source, missing).alias("year"),
-        _texts(_joined(F.col("MedlineCitation.KeywordList.Keyword"))).alias("keyword_list"),
-        F.coalesce(
-            F.transform(mesh, lambda d: _blank_to_null(d["_VALUE"])),
-            F.array().cast("array<string>"),
-        ).alias("mesh_list"),
-        F.coalesce(
-            F.transform(authors, lambda a: _author(a, author_policy)), F.array()
-        ).alias("authors_info"),
+        *(rule().alias(name) for name, rule in rules.items() if name in fields),
         F.col("_malformed").alias("malformed"),
     )
 
 
+def _mesh_texts() -> Column:
+    headings = _joined(F.col("MedlineCitation.MeshHeadingList.MeshHeading"))
+    names = _joined(F.transform(headings, lambda h: h["DescriptorName"]))
+    coded = F.filter(names, lambda d: d["_UI"].isNotNull())
+    return F.coalesce(
+        F.transform(coded, lambda d: _blank_to_null(d["_VALUE"])), F.array().cast("array<string>")
+    )
+
+
+def _people(missing: str) -> Column:
+    found = _joined(F.col("MedlineCitation.Article.AuthorList.Author"))
+    return F.coalesce(F.transform(found, lambda a: _author(a, missing)), F.array())
+
+
 def metadata(articles_df: DataFrame) -> DataFrame:
     """Articles without their authors."""
     return articles_df.drop("authors_info")

@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -24,9 +27,37 @@ def shared_folder(spark: SparkSession) -> str:
     return own
 
 
+#: Folder of the run that owns the stages made in this thread, if one does.
+_owner: ContextVar[str | None] = ContextVar("stage_owner", default=None)
+
+
 def new_stage_path(spark: SparkSession, label: str) -> str:
-    """A fresh path below the shared folder; never reused, never cleared."""
-    return f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
+    """A fresh path below the owning run's folder, or below the shared one; never reused."""
+    return f"{_owner.get() or shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def _remove(spark: SparkSession, folder: str) -> None:
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
+@contextmanager
+def owned_stages(spark: SparkSession, name: str) -> Iterator[str]:
+    """Stages made inside the block lie in one folder that goes when the block ends.
+
+    For runs that write their result inside the block: a table returned from it
+    must not read a stage. What an attempt of the same name left behind when its
+    driver was lost goes first, so two runs must not share a name at a time.
+    """
+    folder = f"{shared_folder(spark)}/{name}"
+    _remove(spark, folder)
+    before = _owner.set(folder)
+    try:
+        yield folder
+    finally:
+        _owner.reset(before)
+        _remove(spark, folder)
 
 
 def write_stage(df: DataFrame, path: str) -> DataFrame:

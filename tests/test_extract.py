@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from citeloom.operators import extract, lookup
 from citeloom.operators.flatten import flatten
 from citeloom.sources import records
-from citeloom.sources.records import scan_records, with_ordinal
+from citeloom.sources.records import first_records, record_at, scan_records, with_ordinal
 
 RECORDS = [
     """<PubmedArticle><MedlineCitation Status="MEDLINE"><PMID Version="1">11</PMID>
@@ -242,3 +242,90 @@ def test_a_file_cut_inside_a_record_is_named(spark, tmp_path):
         spark.conf.set("spark.sql.files.maxPartitionBytes", before)
     with pytest.raises(ValueError, match="cut.xml"):
         records.require_complete(spark, str(tmp_path))
+
+
+def test_affiliations_keep_document_order(spark):
+    def record(inside):
+        return (
+            "<PubmedArticle><MedlineCitation><Article><AuthorList>"
+            f"<Author>{inside}</Author></AuthorList></Article></MedlineCitation></PubmedArticle>"
+        )
+
+    listed = "<AffiliationInfo>\n <Affiliation>{}</Affiliation></AffiliationInfo>".format
+    direct = "<Affiliation>{}</Affiliation>".format
+    grid = '<AffiliationInfo><Identifier Source="GRID">g.1</Identifier><Affiliation>l3</Affiliation></AffiliationInfo>'
+    wanted = {
+        record(listed("l1") + direct("d1")): ("l1", None, ["l1", "d1"]),
+        record(direct("d1") + listed("l1")): ("l1", None, ["d1", "l1"]),
+        record(listed("l1") + direct("d1") + listed("l2") + direct("d2")): ("l1", None, ["l1", "d1", "l2", "d2"]),
+        record(direct("d1") + direct("d2")): (None, None, ["d1", "d2"]),
+        record("<Affiliation/>" + grid + '<Affiliation a="x" />'): ("l3", "g.1", [None, "l3", None]),
+        record(direct("a <i>b</i> c") + "<AffiliationInfo/><AffiliationInfo />" + listed("e &lt;")): ("e <", None, ["a ", "e <"]),
+        record(listed("$1 l") + direct("$2 d")): ("$1 l", None, ["$1 l", "$2 d"]),
+        record('<AffiliationInfo n="1"><Affiliation>x</Affiliation><Affiliation>y</Affiliation></AffiliationInfo>'): ("x", None, ["x", "y"]),
+        record("<LastName>a</LastName>"): (None, None, []),
+    }
+    rows = spark.createDataFrame([(i, r) for i, r in enumerate(wanted)], "n int, record string")
+    people = extract.authors(extract.articles(rows)).orderBy("n").collect()
+    got = [(p.affiliation_name, p.identity, list(p.affiliation)) for p in people]
+    assert got == list(wanted.values())
+
+
+@pytest.mark.parametrize(
+    "fields", [("pmid",), ("year", "title"), extract.METADATA, ("pmid", "authors_info"), ("mesh_list",), ("keyword_list",)]
+)
+@pytest.mark.parametrize("source", extract.YEAR_SOURCES)
+def test_fields_asked_for_equal_those_of_a_whole_parse(spark, scanned, fields, source):
+    bad = spark.createDataFrame([("<PubmedArticle><PMID>1</PubmedArticle>",)], "record string")
+    rows = scanned.select("record").unionByName(bad)
+    whole = extract.articles(rows, source)
+    part = extract.articles(rows, source, fields=fields)
+    assert part.columns == [f for f in extract.FIELDS if f in fields] + ["malformed"]
+    key = lambda rows: sorted(map(repr, rows))
+    assert key(part.collect()) == key(whole.select(part.columns).collect())
+
+
+def test_only_elements_asked_for_are_in_the_schema(scanned):
+    schema = extract.record_schema
+    assert "Author" not in schema(extract.METADATA) and "Journal" not in schema(extract.METADATA)
+    plan = extract.articles(scanned, fields=("pmid",))._jdf.queryExecution().optimizedPlan().toString()
+    assert "PMID" in plan and "AuthorList" not in plan and "Keyword,array" not in plan
+    people = schema(("pmid", "authors_info"))
+    assert not any(name in people for name in ("Mesh", "Keyword", "Title", "Year"))
+    assert "DateRevised" not in schema(("year",), "published")
+    for wrong in ((), ("author",)):
+        with pytest.raises(ValueError):
+            extract.articles(scanned, fields=wrong)
+
+
+def test_positions_are_found_without_numbering_all_records(spark, tmp_path):
+    record = "<PubmedArticle><MedlineCitation><PMID>{}</PMID></MedlineCitation></PubmedArticle>\n"
+    sizes = {"a.xml": 700, "b.xml": 3, "c.xml": 0, "d.xml": 41}
+    for name, n in sizes.items():
+        head = "<PubmedArticleSet>" + " " * (9000 if name == "d.xml" else 0)  # longer than a split
+        body = "".join(record.format(f"{name}-{i}") for i in range(n))
+        (tmp_path / name).write_text(f"{head}{body}</PubmedArticleSet>")
+    path, before = str(tmp_path), spark.conf.get("spark.sql.files.maxPartitionBytes")
+
+    def found(records):
+        rows = extract.articles(records, fields=("pmid",)).collect()
+        assert all(r.pmid.endswith(f"-{r.ordinal}") for r in rows)
+        return sorted(r.pmid for r in rows)
+
+    try:
+        for size in ("4k", before):
+            spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+            for n in (0, 2, 40, 699, 700):
+                assert found(record_at(spark, path, n)) == sorted(f"{f}-{n}" for f, k in sizes.items() if k > n)
+            for n in (-1, -3, -4, -700, -701):
+                assert found(record_at(spark, path, n)) == sorted(f"{f}-{k + n}" for f, k in sizes.items() if k >= -n)
+            for cap in (0, 1, 42, 1000):
+                assert found(first_records(spark, path, cap)) == sorted(
+                    f"{f}-{i}" for f, k in sizes.items() for i in range(min(k, cap))
+                )
+        plan = record_at(spark, path, 5)
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "5k")
+        with pytest.raises(Exception, match="split otherwise"):
+            plan.select("*").collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)

@@ -4,6 +4,7 @@ import csv
 import glob
 import os
 from datetime import datetime
+from pathlib import Path
 
 import pytest
 
@@ -12,7 +13,7 @@ from citeloom.plans import pipeline
 from citeloom.sinks.csv_sink import run_path, run_stamp, show, write_csv
 from citeloom.sources.drops import latest_path
 from citeloom.sources.records import scan_records
-from citeloom.sources.staged import read_staged_csv, shared_folder, write_stage
+from citeloom.sources.staged import new_stage_path, owned_stages, read_staged_csv, shared_folder, write_stage
 from citeloom.streaming.ingest import ingest_new_files
 
 
@@ -136,7 +137,7 @@ def test_csv_text(spark, tmp_path, capsys):
     for part in glob.glob(str(tmp_path / "p" / "*.csv")):
         with open(part, newline="") as f:
             rows += list(csv.reader(f))
-    assert rows[0][1:] == ["id", "t", "l"] and rows[0][0].strip() == ""
+    assert rows[0] == ["", "id", "t", "l"]
     body = sorted(r for r in rows if r[1] != "id")
     assert body == [
         ["0", "1", "", "[]"],
@@ -191,6 +192,39 @@ def test_incremental_runs_take_only_new_files(spark, dictionaries, tmp_path):
         ingest_new_files(spark, "x", "y", "z", *dictionaries, options=pipeline.Options(cap=5))
 
 
+def test_stages_of_a_run_go_with_it(spark, dictionaries, drop, tmp_path):
+    shared = Path(shared_folder(spark))
+    before = set(shared.iterdir())
+    source, progress = tmp_path / "in", str(tmp_path / "progress")
+    source.mkdir()
+    for name, text, rows in (("a.xml", ONE, 2), ("b.xml", TWO, 3)):
+        (source / name).write_text(wrap(text))
+        ingest_new_files(
+            spark, str(source), str(tmp_path / "out"), progress, *dictionaries, output="parquet"
+        ).awaitTermination()
+        assert spark.read.parquet(f"{tmp_path}/out/*").count() == rows
+        assert set(shared.iterdir()) == before
+    path = pipeline.run_latest(spark, drop, str(tmp_path / "csv"), *dictionaries, index_order=("pmid",))
+    assert spark.read.csv(path, header=True).columns[0] == "_c0"
+    assert set(shared.iterdir()) == before
+
+
+def test_a_repeated_attempt_clears_what_the_lost_one_left(spark):
+    shared = Path(shared_folder(spark))
+    left = shared / "attempt" / "flat-1"
+    left.mkdir(parents=True)
+    with owned_stages(spark, "attempt") as folder:
+        assert not left.exists()
+        stage = write_stage(spark.range(3).toDF("id"), new_stage_path(spark, "flat"))
+        assert stage.count() == 3 and [p.name[:5] for p in Path(folder).iterdir()] == ["flat-"]
+    assert not (shared / "attempt").exists()
+    with pytest.raises(KeyError), owned_stages(spark, "attempt"):
+        write_stage(spark.range(3).toDF("id"), new_stage_path(spark, "flat"))
+        raise KeyError
+    assert not (shared / "attempt").exists()
+    assert not new_stage_path(spark, "flat").startswith(f"{shared}/attempt")
+
+
 def test_stage_is_read_back(spark, tmp_path):
     df = spark.createDataFrame([(1, ["a", None])], "id int, l array<string>")
     back = write_stage(df, str(tmp_path / "stage"))

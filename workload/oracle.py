@@ -281,5 +281,11 @@ gathered AS (SELECT segs, string_agg(coalesce(first_ratio.match, '~'), '|' ORDER
         ),
     ),
     "csv_round_trip": _flat(_FLAT_COLUMNS),
+    "latest_run": (
+        f"SELECT r.*, row_number() OVER (ORDER BY {_KEY}) - 1 AS row_index, true AS is_stamped "
+        f"FROM ({_run('coalesce(identity, name_id, alias_id)')}) r WHERE pmid IN ("
+        + _article("pmid", f"FROM article WHERE year(o_orderdate) = {LATE_YEAR}")
+        + ")"
+    ),
     "incremental_ingest": _run("coalesce(identity, name_id, alias_id)"),
 }

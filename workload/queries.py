@@ -15,12 +15,13 @@ from citeloom.plans import pipeline
 from citeloom.sinks.csv_sink import write_csv
 from citeloom.sources.dictionaries import read_aliases, read_institutes, read_word_list
 from citeloom.sources.drops import latest_path
-from citeloom.sources.records import scan_records, with_ordinal
+from citeloom.sources.records import first_records, record_at, scan_records, with_ordinal
 from citeloom.sources.staged import new_stage_path, read_staged_csv
 from citeloom.streaming.ingest import ingest_new_files
 from workload import view
 
 _KEY = ("pmid", "lastname", "affiliation")
+_PEOPLE = ("pmid", "authors_info")
 
 
 def _listed(column: str) -> F.Column:
@@ -81,21 +82,19 @@ def xml_articles(spark, sf_dir):
 
 def xml_file_scan(spark, sf_dir):
     nested = extract.articles(
-        scan_records(spark, _files(spark, sf_dir)), year_source="published"
-    )
-    return _lists_as_text(extract.metadata(nested)).select(
-        "pmid", "title", "year", "keywords", "mesh"
+        scan_records(spark, _files(spark, sf_dir)), year_source="published", fields=extract.METADATA
     )
+    return _lists_as_text(nested).select("pmid", "title", "year", "keywords", "mesh")
 
 
 def xml_mixed_year(spark, sf_dir):
-    return _parsed(spark, sf_dir, year_source="mixed", missing="empty").select(
-        "pmid", "title", "year"
-    )
+    return _parsed(
+        spark, sf_dir, year_source="mixed", missing="empty", fields=("pmid", "title", "year")
+    ).select("pmid", "title", "year")
 
 
 def author_records(spark, sf_dir):
-    people = extract.authors(_parsed(spark, sf_dir, missing_author="empty"))
+    people = extract.authors(_parsed(spark, sf_dir, missing_author="empty", fields=_PEOPLE))
     return people.select(
         "pmid",
         F.col("author_pos").cast("bigint").alias("author_pos"),
@@ -121,33 +120,40 @@ def record_ordinals(spark, sf_dir):
     )
 
 
-def _numbered_files(spark, sf_dir):
-    path = view.record_files_by_nation(spark, sf_dir, new_stage_path(spark, "nation-files"))
-    return extract.articles(with_ordinal(scan_records(spark, path)))
+def _nation_files(spark, sf_dir):
+    return view.record_files_by_nation(spark, sf_dir, new_stage_path(spark, "nation-files"))
 
 
 def first_articles(spark, sf_dir):
-    capped = lookup.first_articles(_numbered_files(spark, sf_dir), 50)
-    return capped.select("ordinal", "pmid", "title")
+    capped = first_records(spark, _nation_files(spark, sf_dir), 50)
+    return extract.articles(capped, fields=("pmid", "title")).select("ordinal", "pmid", "title")
 
 
 def article_at(spark, sf_dir):
-    nested = _numbered_files(spark, sf_dir)
-    return lookup.article_at(nested, 3).select("pmid", F.lit(3).alias("n")).unionByName(
-        lookup.article_at(nested, -2).select("pmid", F.lit(-2).alias("n"))
-    )
+    path = _nation_files(spark, sf_dir)
+
+    def at(n):
+        found = extract.articles(record_at(spark, path, n), fields=("pmid",))
+        return found.select("pmid", F.lit(n).alias("n"))
+
+    return at(3).unionByName(at(-2))
 
 
 def article_count(spark, sf_dir):
     return lookup.article_count(view.records(spark, sf_dir))
 
 
-def latest_drop_articles(spark, sf_dir):
+def _drops(spark, sf_dir):
     prefix = new_stage_path(spark, "drops")
     view.record_files(spark, sf_dir, f"{prefix}/early")
     view.late_file(spark, sf_dir, f"{prefix}/late")
-    newest = latest_path(spark, prefix, "*.txt")
-    return extract.articles(scan_records(spark, newest)).select("pmid", "title")
+    return prefix
+
+
+def latest_drop_articles(spark, sf_dir):
+    newest = latest_path(spark, _drops(spark, sf_dir), "*.txt")
+    nested = extract.articles(scan_records(spark, newest), fields=("pmid", "title"))
+    return nested.select("pmid", "title")
 
 
 # Flat rows and lookups
@@ -175,14 +181,14 @@ def row_index(spark, sf_dir):
 
 
 def author_by_name(spark, sf_dir):
-    people = extract.authors(_parsed(spark, sf_dir))
+    people = extract.authors(_parsed(spark, sf_dir, fields=_PEOPLE))
     return lookup.authors_by_name(people, "F8 Supplier#000000008").select(
         "pmid", "forename", "lastname", "initials", "affiliation_name"
     )
 
 
 def author_by_identity(spark, sf_dir):
-    people = extract.authors(_parsed(spark, sf_dir))
+    people = extract.authors(_parsed(spark, sf_dir, fields=_PEOPLE))
     return lookup.authors_by_identity(people, "grid.9").select("pmid", "lastname", "identity")
 
 
@@ -364,6 +370,27 @@ def csv_round_trip(spark, sf_dir):
     return _lists_as_text(back)
 
 
+def latest_run(spark, sf_dir):
+    """Newest drop to run-stamped CSV with row numbers, read back."""
+    path = pipeline.run_latest(
+        spark,
+        _drops(spark, sf_dir),
+        new_stage_path(spark, "results"),
+        view.institutes(spark, sf_dir),
+        view.aliases(spark, sf_dir),
+        pattern="*.txt",
+        index_order=_KEY,
+    )
+    named = spark.read.csv(path, header=True).columns[1:]
+    back = read_staged_csv(spark, path, ["row_index", *named], ("keyword_list", "mesh_list"))
+    stamp = r"/processed_article_data_\d{4}-\d\d-\d\d_\d\d-\d\d-\d\d$"
+    return _lists_as_text(back).select(
+        F.col("row_index").cast("bigint").alias("row_index"),
+        *_RUN_COLUMNS,
+        F.lit(path).rlike(stamp).alias("is_stamped"),
+    )
+
+
 def incremental_ingest(spark, sf_dir):
     source, output = _files(spark, sf_dir), new_stage_path(spark, "ingested")
     query = ingest_new_files(
@@ -424,4 +451,5 @@ QUERIES = {
     "pipeline_staged": pipeline_staged,
     "csv_round_trip": csv_round_trip,
     "incremental_ingest": incremental_ingest,
+    "latest_run": latest_run,
 }

@@ -158,8 +158,10 @@ _RECORD = " || ".join(
         "'<Author>' || " + _element("LastName", "s_name") + " || " + _optional("ForeName", "forename"),
         "'<Initials>F</Initials><AffiliationInfo>' || " + _element("Affiliation", "aff1"),
         f"'<Identifier Source=\"ROR\">ror.' || {_text('s')} || '</Identifier>' || " + _GRID,
-        "'</AffiliationInfo>' || CASE WHEN p % 5 = 0 THEN '<AffiliationInfo>' || "
-        + _element("Affiliation", "aff2") + " || '</AffiliationInfo>' ELSE '' END || '</Author>\n'",
+        # Some second affiliations stand directly below the author, behind a listed one.
+        "'</AffiliationInfo>' || CASE WHEN p % 10 = 0 THEN " + _element("Affiliation", "aff2")
+        + " WHEN p % 5 = 0 THEN '<AffiliationInfo>' || " + _element("Affiliation", "aff2")
+        + " || '</AffiliationInfo>' ELSE '' END || '</Author>\n'",
         "'<Author>' || " + _element("LastName", "c_name"),
         f"'<ForeName>C' || {_text('c')} || '</ForeName><Initials/>'",
         "CASE WHEN c % 4 = 0 THEN '' ELSE '<AffiliationInfo>' || " + _element("Affiliation", "aff3")
