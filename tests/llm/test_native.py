@@ -112,7 +112,9 @@ def test_the_query_is_in_training_order(spark):
     for r in plan:
         if r.taken:
             assert _asked(mixing.SCHEDULES[r["class"]], r.first_position) == pytest.approx(r.start / r.quota, abs=1e-6)
-    got = [planned[r.doc_id] for r in QUERIES["op2_mixing"](spark, path).collect()]
+    mixed = QUERIES["op2_mixing"](spark, path).collect()
+    got = [planned[r.doc_id] for r in mixed]
+    assert all((r.first_position, r.full_passes) == (g.first_position, g.full_passes) for r, g in zip(mixed, got, strict=True))
     assert len(got) == len(plan) and len({r.source for r in got}) > 1
     key = [(r.first_position is None, r.first_position or 0.0, r.start) for r in got]
     assert key == sorted(key) and {r.first_position is None for r in got} == {not r.taken for r in got}
