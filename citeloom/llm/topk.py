@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 CANDIDATE_ROWS, QUERY_ROWS = 4096, 1024
 #: Score arrays are filled in tiles that fit a core's cache.
 TILE = 256
+#: Scores are 64-bit; the least number marks a query's own row.
+LARGEST, OWN = (1 << 63) - 1, -(1 << 63)
 
 
 def finite_vector(column: str) -> Column:
@@ -29,8 +31,6 @@ def scatter_scores(candidates: np.ndarray, queries: np.ndarray) -> np.ndarray:
     """
     terms = candidates.shape[1]
     peak = max(int(np.abs(candidates).max(initial=0)), 1) * max(int(np.abs(queries).max(initial=0)), 1)
-    if peak * max(terms, 1) >= 2**62:
-        raise OverflowError("an inner product may exceed 64 bits")
     kind = np.int32 if peak * max(terms, 1) < 2**31 else np.int64
     c, q = candidates.astype(kind), queries.astype(kind)
     scores = np.zeros((len(c), len(q)), kind)
@@ -52,6 +52,33 @@ def scatter_scores(candidates: np.ndarray, queries: np.ndarray) -> np.ndarray:
     return scores
 
 
+def wide_scores(candidates: np.ndarray, queries: np.ndarray) -> np.ndarray:
+    """As ``scatter_scores``, in integers of any size, held to 64 bits in the end."""
+    scores = np.zeros((len(candidates), len(queries)), np.int64)
+    whole = np.frompyfunc(int, 1, 1)
+    c, q = whole(candidates).astype(object), whole(queries).astype(object)
+    for top in range(0, len(c), TILE):
+        exact = np.zeros((len(c[top : top + TILE]), len(q)), object)
+        for t in range(c.shape[1]):
+            exact += c[top : top + TILE, t, None] * q[:, t]
+        scores[top : top + TILE] = np.clip(exact, -LARGEST, LARGEST).astype(np.int64)
+    return scores
+
+
+def cell_scores(candidates: np.ndarray, queries: np.ndarray) -> np.ndarray:
+    """Scores of rows of whole doubles; only rows whose products may pass 64 bits leave the fast way."""
+    bar = math.isqrt((1 << 61) // max(candidates.shape[1], 1))
+    wide_c, wide_q = (np.abs(x).max(axis=1, initial=0) > bar for x in (candidates, queries))
+    scores = np.zeros((len(candidates), len(queries)), np.int64)
+    narrow = candidates[~wide_c].astype(np.int64), queries[~wide_q].astype(np.int64)
+    scores[np.ix_(~wide_c, ~wide_q)] = scatter_scores(*narrow)
+    if wide_c.any():
+        scores[wide_c] = wide_scores(candidates[wide_c], queries)
+    if wide_q.any():
+        scores[np.ix_(~wide_c, wide_q)] = wide_scores(candidates[~wide_c], queries[wide_q])
+    return scores
+
+
 def best_rows(scores: np.ndarray, ids: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
     """(query row, candidate row) of each query's k best scores, ties to smaller ids.
 
@@ -87,15 +114,15 @@ def _cell(k: int):
     def score(cell: pa.Table) -> pa.Table:
         asks = cell["is_query"].to_numpy().astype(bool)
         ids, rows = cell["vec_id"].to_numpy(), cell["row"].to_numpy()
-        vectors = padded_matrix(cell["terms"])
-        scores = scatter_scores(vectors[~asks], vectors[asks]).T.astype(np.int64)
+        vectors = np.floor(padded_matrix(cell["terms"]))
+        scores = cell_scores(vectors[~asks], vectors[asks]).T
         own = {r: i for i, r in enumerate(rows[~asks])}
         for i, r in enumerate(rows[asks]):
             if r in own:
-                scores[i, own[r]] = np.iinfo(np.int64).min
+                scores[i, own[r]] = OWN
         q, c = best_rows(scores, ids[~asks], k)
         found = scores[q, c]
-        real = found > np.iinfo(np.int64).min
+        real = found > OWN
         return pa.table(
             {
                 "query_row": pa.array(rows[asks][q][real], pa.int64()),
@@ -128,11 +155,18 @@ def exact_top_k(
     empty vector scores 0. Rows with a null id take no part. Repeated rows are
     rows of their own: a repeated query is answered once per row, and only its
     own row is left out. Fewer than k candidates are all returned; other
-    columns are ignored. Products beyond 64 bits raise ``OverflowError``.
+    columns are ignored. Scores beyond 64 bits are given as the nearest of
+    +-(2^63 - 1), and tie there; a vector with a component whose scaled value is
+    beyond doubles takes no part.
     """
-    usable = vectors.where(finite_vector(vector_col) & F.col(id_col).isNotNull()).select(
+    scaled = F.transform(vector_col, lambda x: x.cast("double") * scale)
+    usable = vectors.where(
+        finite_vector(vector_col)
+        & ~F.exists(scaled, lambda x: F.abs(x) == F.lit(math.inf))
+        & F.col(id_col).isNotNull()
+    ).select(
         F.col(id_col).cast("long").alias("vec_id"),
-        F.transform(vector_col, lambda x: F.floor(x.cast("double") * scale)).alias("terms"),
+        scaled.alias("terms"),
         F.coalesce(query, F.lit(False)).alias("asks"),
         # Only tells rows apart and deals them out; the result does not depend on it.
         F.monotonically_increasing_id().alias("row"),

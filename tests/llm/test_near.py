@@ -179,9 +179,28 @@ def test_top_k(spark):
     assert topk.exact_top_k(df.where("false"), F.col("vec_id") == 1).count() == 0
 
 
-def test_scores_beyond_64_bits_are_refused():
-    with pytest.raises(OverflowError):
-        topk.scatter_scores(np.array([[1 << 40]]), np.array([[1 << 40]]))
+def test_large_components_end_well(spark):
+    draw = np.random.default_rng(12)
+    rows = [(i, draw.standard_normal(5).round(2).tolist()) for i in range(60)]
+    rows += [(60, [1e18] * 5), (61, [-1e18, 0.0, 0.0, 0.0, 0.0]), (62, [2.0**40, -(2.0**40), 0.5, 0.0, 1e9]), (63, [1e300] * 5)]
+    rows += [(64, [1e308, 0.0]), (80, [1e18, 1.0]), (81, [3e9, 0.0]), (100, [0.0, -3e9])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    from pyspark.sql import functions as F
+
+    got = topk.exact_top_k(df, F.col("vec_id") % 20 == 0, k=70, candidate_rows=17, query_rows=2).collect()
+    top = (1 << 63) - 1
+    good = [(i, [math.floor(64 * x) for x in v]) for i, v in rows if i != 64]
+    want = []
+    for i, v in good:
+        if i % 20 == 0:
+            scores = [
+                (-max(-top, min(top, sum(a * b for a, b in zip(v, w, strict=False)))), j)
+                for j, w in good
+                if j != i
+            ]
+            want += [(i, r + 1, j, -s) for r, (s, j) in enumerate(sorted(scores))]
+    assert sorted(map(tuple, got)) == sorted(want)
+    assert {r.score for r in got} >= {top, -top}
 
 
 def test_one_id_with_several_vectors_and_extreme_lengths(spark):
