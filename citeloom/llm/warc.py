@@ -6,7 +6,7 @@ import hashlib
 import struct
 import uuid
 from collections.abc import Iterator
-from itertools import chain
+from itertools import chain, count
 
 import pyarrow as pa
 import zstandard
@@ -25,6 +25,8 @@ REVISIT_BYTES = 1_000
 #: Leading records from which an archive's dictionary is built, their bytes at most, and its size.
 DICTIONARY_RECORDS, DICTIONARY_SAMPLE, DICTIONARY_BYTES = 512, 4 << 20, 64 << 10
 LEVEL = 6
+#: An archive that has reached this many bytes is followed by another.
+ARCHIVE_BYTES = 128 << 20
 _PAGES = uuid.UUID("6ba7b811-9dad-11d1-80b4-00c04fd430c8")
 
 
@@ -70,11 +72,13 @@ def build_dictionary(records: list[bytes]) -> zstandard.ZstdCompressionDict | No
         return None
 
 
-def archive_frames(records: Iterator[bytes]) -> Iterator[bytes]:
+def archive_frames(records: Iterator[bytes], limit: int | None = None) -> Iterator[bytes]:
     """The leading dictionary frame, then a frame per record.
 
     The dictionary comes from the first records, so an archive of any length is
-    written without holding more than those.
+    written without holding more than those. With ``limit`` the archive ends
+    with the record that reaches so many bytes, once it has the first ones; the
+    records that follow stay in the iterator.
     """
     first, room = [], DICTIONARY_SAMPLE
     for record in records:
@@ -87,10 +91,16 @@ def archive_frames(records: Iterator[bytes]) -> Iterator[bytes]:
     trained = build_dictionary(first)
     raw = trained.as_bytes() if trained else b""
     packed = zstandard.ZstdCompressor(level=LEVEL).compress(raw) if raw else b""
-    yield DICTIONARY_FRAME + struct.pack("<I", len(packed)) + packed
+    leading = DICTIONARY_FRAME + struct.pack("<I", len(packed)) + packed
+    yield leading
+    size = len(leading)
     writer = zstandard.ZstdCompressor(level=LEVEL, **({"dict_data": trained} if trained else {}))
-    for record in chain(first, records):
-        yield writer.compress(record)
+    for n, record in enumerate(chain(first, records), 1):
+        frame = writer.compress(record)
+        yield frame
+        size += len(frame)
+        if limit is not None and size >= limit and n >= len(first):
+            return
 
 
 def read_frames(data: bytes) -> Iterator[bytes]:
@@ -141,32 +151,59 @@ def parse_record(record: bytes) -> dict:
     }
 
 
-def _write_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """One archive per task, and so per file."""
+def _write_task(limit: int):
+    """Frames of one archive after another, each with its number in the task and its place."""
 
-    def records() -> Iterator[bytes]:
-        for batch in batches:
-            for cells in zip(*batch.columns, strict=True):
-                page, url, html, digest, main = (c.as_py() for c in cells)
-                yield format_record(page, url, html or b"", digest, None if main == page else main)
+    def numbered(records: Iterator[bytes]) -> Iterator[tuple[int, int, bytes]]:
+        for archive in count():
+            place = -1
+            for place, frame in enumerate(archive_frames(records, limit)):
+                yield archive, place, frame
+            if place < 0:
+                return
 
-    frames, size = [], 0
-    for frame in archive_frames(records()):
-        frames.append(frame)
-        size += len(frame)
-        if size >= 1 << 20:
-            yield pa.RecordBatch.from_arrays([pa.array(frames, pa.binary())], ["frame"])
-            frames, size = [], 0
-    if frames:
-        yield pa.RecordBatch.from_arrays([pa.array(frames, pa.binary())], ["frame"])
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def records() -> Iterator[bytes]:
+            for batch in batches:
+                for cells in zip(*batch.columns, strict=True):
+                    page, url, html, digest, main = (c.as_py() for c in cells)
+                    yield format_record(page, url, html or b"", digest, None if main == page else main)
+
+        def flush() -> pa.RecordBatch:
+            columns = zip(*rows, strict=True)
+            return pa.RecordBatch.from_arrays(
+                [pa.array(c, t) for c, t in zip(columns, (pa.int32(), pa.int64(), pa.binary()), strict=True)],
+                ["archive", "place", "frame"],
+            )
+
+        rows, size = [], 0
+        for row in numbered(records()):
+            rows.append(row)
+            size += len(row[2])
+            if size >= 1 << 20:
+                yield flush()
+                rows, size = [], 0
+        if rows:
+            yield flush()
+
+    return run
 
 
-def write_archives(pages: DataFrame, path: str, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> None:
-    """Write one dictionary-compressed archive per partition below ``path``.
+def write_archives(
+    pages: DataFrame,
+    path: str,
+    id_col: str = "page_id",
+    url_col: str = "url",
+    html_col: str = "html",
+    archive_bytes: int = ARCHIVE_BYTES,
+) -> None:
+    """Write dictionary-compressed archives below ``path``, at least one per partition.
 
-    Of equal payloads of ``REVISIT_BYTES`` or more, the record with the largest
+    An archive that reaches ``archive_bytes`` is closed and the next one gets a
+    dictionary of its own, so no file outgrows what one task can read; a record,
+    which is never cut, may pass that. Of equal payloads of ``REVISIT_BYTES`` or more, the record with the largest
     id is a response and the others are revisits of it; only digests and ids
-    are grouped. Frames go through Spark's text writer, whose line end is set to
+    are grouped, and smaller pages are archived where they are read. Frames go through Spark's text writer, whose line end is set to
     an empty skippable frame, so any file system that Spark knows can hold the
     archives. Null payloads are empty; a null id sorts below all others and is
     never referred to; rows that repeat the largest id are responses each.
@@ -183,9 +220,21 @@ def write_archives(pages: DataFrame, path: str, id_col: str = "page_id", url_col
         .where(F.col("members") > 1)
         .select("digest", "main")
     )
-    named = rows.join(groups, "digest", "left").select("page_id", "url", "html", "digest", "main")
-    frames = named.mapInArrow(_write_task, "frame binary")
-    frames.select(F.col("frame").cast("string")).write.option("lineSep", EMPTY_FRAME).text(path)
+    large = F.coalesce(F.octet_length("html") >= REVISIT_BYTES, F.lit(False))
+    named = (
+        rows.where(large)
+        .join(groups, "digest", "left")
+        .select("page_id", "url", "html", "digest", "main")
+        .union(rows.where(~large).select("page_id", "url", "html", "digest", F.lit(None).cast("long")))
+    )
+    frames = named.mapInArrow(_write_task(archive_bytes), "archive int, place long, frame binary")
+    (
+        frames.sortWithinPartitions("archive", "place")
+        .select("archive", F.col("frame").cast("string"))
+        .write.partitionBy("archive")
+        .option("lineSep", EMPTY_FRAME)
+        .text(path)
+    )
 
 
 def read_archives(spark: SparkSession, path: str) -> DataFrame:
@@ -228,7 +277,8 @@ _RECORD = pa.schema(
 def archive_round_trip(pages: DataFrame) -> DataFrame:
     """Write all pages as archives in the shared folder and read every record back.
 
-    An empty table gives no rows; other columns are ignored.
+    An empty table gives no rows; very long pages are records like any other;
+    other columns are ignored.
     """
     path = new_stage_path(pages.sparkSession, "archives")
     write_archives(pages, path)

@@ -30,6 +30,35 @@ def test_archives_without_a_dictionary_and_empty_ones():
     assert list(warc.read_frames(b"".join(frames))) == [b"", b"one"]
 
 
+def test_archives_roll_over_by_bytes():
+    records = [bytes([65 + k % 26]) * 50 + str(k * 7919).encode() * (k % 40) for k in range(2000)]
+    left, archives = iter(records), []
+    while frames := list(warc.archive_frames(left, 9_000)):
+        archives.append(frames)
+    assert len(archives) > 2
+    assert all(f[0][:4] == warc.DICTIONARY_FRAME for f in archives)
+    # The first records are always in; beyond them the limit is passed by one record at most.
+    assert all(sum(map(len, f[:-1])) < 9_000 or len(f) <= 1 + warc.DICTIONARY_RECORDS for f in archives)
+    assert [r for f in archives for r in warc.read_frames(b"".join(f))] == records
+
+
+def test_very_long_pages_and_small_archives(spark, tmp_path):
+    rows = [(i, f"u{i}", f"<p>page {i}</p>" * (1 + i % 90)) for i in range(1500)]
+    rows += [(5000, "long", "wörter " * 400_000), (5001, "long", "wörter " * 400_000), (5002, "line", "x" * 3_000_000)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string").coalesce(2)
+    path = str(tmp_path / "archives")
+    warc.write_archives(df, path, archive_bytes=20_000)
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path)
+    assert files.where("archive > 0").count() > 0
+    assert files.where("hex(substring(content, 1, 4)) <> '5D2A4D18'").count() == 0
+    got = {r.page_id: r for r in warc.read_archives(spark, path).collect()}
+    assert len(got) == len(rows)
+    assert got[5000].record_type == "revisit" and got[5000].refers_to == 5001
+    for i, _, html in rows:
+        assert got[i].payload_digest == hashlib.sha1(html.encode()).hexdigest()
+        assert got[i].payload == (None if i == 5000 else html.encode())
+
+
 def test_cut_archive_is_reported():
     data = b"".join(warc.archive_frames(iter([b"x" * 5000, b"y" * 9000])))
     with pytest.raises((ValueError, zstandard.ZstdError)):
