@@ -11,8 +11,8 @@ from pyspark.sql import functions as F
 
 from citeloom.llm.vocabulary import read_ranks, word_segments
 
-#: Words remembered by a worker before it starts anew.
-REMEMBERED_WORDS = 400_000
+#: Words remembered by a worker before it starts anew, and the bytes of a word worth it.
+REMEMBERED_WORDS, REMEMBERED_BYTES = 400_000, 64
 
 
 class LongestMatch:
@@ -87,9 +87,11 @@ class _Counts(dict):
         self.count = automaton.count
 
     def __missing__(self, word: bytes) -> int:
-        if len(self) >= REMEMBERED_WORDS:
-            self.clear()
-        found = self[word] = self.count(word)
+        found = self.count(word)
+        if len(word) <= REMEMBERED_BYTES:
+            if len(self) >= REMEMBERED_WORDS:
+                self.clear()
+            self[word] = found
         return found
 
 
@@ -113,7 +115,8 @@ def count_tokens(
 
     Words are runs of bytes other than space and control white space. The
     automaton depends on the vocabulary file alone and is shipped to the tasks;
-    texts stay where they are read. Result: id, ``n_bytes``, ``n_words``,
+    texts stay where they are read, and very long ones are read whole, in
+    segments that end at spaces. Result: id, ``n_bytes``, ``n_words``,
     ``n_tokens``. Null and empty texts have none; repeated rows and null ids
     give rows of their own; an empty table gives no rows; other columns are
     ignored.

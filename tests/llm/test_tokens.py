@@ -119,6 +119,12 @@ def test_token_counts_rows(spark):
     assert token_counts.count_tokens(df.where("false"), RANKS).count() == 0
 
 
+def test_long_words_are_counted_and_not_remembered():
+    counts = token_counts._Counts(token_counts.LongestMatch([b"ab", b"a", b"b"], [b"ab", b"a", b"b"]))
+    assert counts[b"ab" * 300_000] == 300_000 and counts[b"aba"] == 2
+    assert list(counts) == [b"aba"]
+
+
 def test_segments_cut_at_spaces_only():
     data = b"aa bb  cc " * 50 + b"d" * 100 + b" e"
     parts = list(word_segments(data, 16))
