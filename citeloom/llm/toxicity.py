@@ -17,12 +17,12 @@ from citeloom.sources.staged import new_stage_path, write_stage
 
 #: Labelled rows from which stems and weights are learned, at most.
 TRAINING_ROWS = 20_000
-#: Word beginnings that may become insult stems, and letters they have.
-CANDIDATE_STEMS, STEM_LETTERS = 2_000, range(3, 11)
+#: Letters of the word beginnings that may become insult stems.
+STEM_LETTERS = range(3, 11)
 #: Words after a negation that it covers.
 NEGATION_REACH = 3
-#: Tokens remembered by a worker before it starts anew.
-REMEMBERED_TOKENS = 400_000
+#: Tokens remembered by a worker before it starts anew, and the letters of a token worth it.
+REMEMBERED_TOKENS, REMEMBERED_LETTERS = 400_000, 64
 #: Characters read at a time, and stems sent at a time.
 PART, STEM_ROWS = 1 << 20, 1 << 16
 
@@ -204,9 +204,11 @@ class _Codes(dict):
         self.find = grammar.token_code
 
     def __missing__(self, token: str) -> int:
-        if len(self) >= REMEMBERED_TOKENS:
-            self.clear()
-        found = self[token] = self.find(token)
+        found = self.find(token)
+        if len(token) <= REMEMBERED_LETTERS:
+            if len(self) >= REMEMBERED_TOKENS:
+                self.clear()
+            self[token] = found
         return found
 
 
@@ -263,34 +265,32 @@ def choose_stems(present: list[tuple[list[int], int]], candidates: list[str]) ->
     """Stems that explain the toxic rows of the sample.
 
     Greedy: a row counts half as much with each stem it already holds, and a
-    clean row counts against a stem twice.
+    clean row counts against a stem twice. As many are chosen as explain rows
+    enough.
     """
     if not candidates:
         return []
-    rows = [np.zeros(0, np.int64)] * len(candidates)
-    clean = np.zeros(len(candidates))
+    toxic = [np.array(found, np.int64) for found, label in present if label]
+    gain = np.zeros(len(candidates))
     holds: list[list[int]] = [[] for _ in candidates]
-    toxic = 0
     for found, label in present:
-        if label:
-            for c in found:
-                holds[c].append(toxic)
-            toxic += 1
-        else:
-            clean[found] += 1
-    rows = [np.array(h, np.int64) for h in holds]
-    worth = np.ones(toxic)
-    least = max(4.0, 0.002 * toxic)
+        if not label:
+            gain[found] -= 2
+    for row, found in enumerate(toxic):
+        gain[found] += 1
+        for c in found.tolist():
+            holds[c].append(row)
+    worth = np.ones(len(toxic))
+    least = max(4.0, 0.002 * len(toxic))
     chosen: list[str] = []
-    while len(chosen) < 200:
-        gain = np.array([worth[r].sum() for r in rows]) - 2 * clean
-        top = gain.max()
-        if top < least:
-            break
-        best = max(np.flatnonzero(gain >= top - 1e-9), key=lambda c: len(candidates[c]))
+    # Halves add up exactly, so equal gains stay equal.
+    while (top := gain.max()) >= least:
+        best = max(np.flatnonzero(gain == top), key=lambda c: len(candidates[c]))
         chosen.append(candidates[best])
-        worth[rows[best]] /= 2
-        rows[best] = rows[best][:0]
+        for row in holds[best]:
+            worth[row] /= 2
+            gain[toxic[row]] -= worth[row]
+        gain[best] = -np.inf
     return chosen
 
 
@@ -323,7 +323,8 @@ def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     """Stems and clause weights from a bounded sample of labelled rows that are not held out.
 
     The sample is the ``TRAINING_ROWS`` ids of smallest hash; equal texts count
-    once. The ids are few enough to be broadcast.
+    once. The ids are few enough to be broadcast. Every word beginning that the
+    sample holds is weighed; nothing else bounds what is learned.
     """
     spark = docs.sparkSession
     chosen = (
@@ -354,7 +355,6 @@ def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
         .withColumn("strength", strength)
         .where("strength >= 5")
         .orderBy(F.col("strength").desc(), "stem")
-        .limit(CANDIDATE_STEMS)
         .collect()
     ]
     number = {stem: k for k, stem in enumerate(candidates)}

@@ -1,6 +1,8 @@
 """The clause grammar: composed machine against its parts, and what it learns."""
 
+import math
 import random
+import re
 
 import numpy as np
 import pytest
@@ -48,6 +50,67 @@ def test_parts_change_nothing(monkeypatch):
     assert _kinds(text) == whole
 
 
+def _plain_score(text, stems, weights, bias):
+    """The same score without machines: clauses cut at their ends, mentions judged by the words before."""
+    found, clauses = {k: 0 for k in toxicity.clause_kinds()}, [[]]
+    for token in (text or "").lower().split():
+        words = re.findall(r"[^\W\d_]+", token)
+        kinds = set()
+        for w in words:
+            if w in toxicity.INSULTS or any(w.startswith(s) for s in stems):
+                kinds.add("insult")
+            for kind, listed in (("threat", toxicity.THREATS), ("no", toxicity.NEGATIONS), ("told", toxicity.REPORTED), ("target", toxicity.TARGETS)):
+                if w in listed and w not in toxicity.INSULTS and "insult" not in kinds:
+                    kinds.add(kind)
+        order = ("insult", "threat", "no", "told", "target")
+        clauses[-1].append(next((k for k in order if k in kinds), ""))
+        if token[-1] in ".!?;:,":
+            clauses.append([])
+    for clause in clauses:
+        meant = {"insult": 0, "threat": 0}
+        for at, kind in enumerate(clause):
+            if kind in meant:
+                denied, told = "no" in clause[max(0, at - 3) : at], "told" in clause[:at]
+                how = toxicity.DENIED if denied else toxicity.TOLD if told else toxicity.MEANT
+                meant[kind] = max(meant[kind], how)
+        if any(meant.values()):
+            found[meant["insult"], meant["threat"], "target" in clause] += 1
+    n = sum(c for (i, t, _), c in found.items() if toxicity.MEANT in (i, t))
+    x = [math.log1p(c) for c in found.values()]
+    x += [float(n > 0), math.log1p(n), math.log1p(100 * n / len(clauses))]
+    return 1 / (1 + math.exp(-(sum(a * b for a, b in zip(x, weights, strict=True)) + bias)))
+
+
+def test_scores_equal_the_plain_ones(spark):
+    draw = random.Random(11)
+    stems = ("grumf", "zor")
+    weights = np.random.default_rng(4).standard_normal(len(toxicity.clause_kinds()) + 3)
+    model = toxicity.Model(toxicity.Grammar(stems), weights, -0.7)
+    words = ["calm", "day", "grumfel", "zorro", "you", "She", "not", "nie", "said", "dit", "kill", "Tuer", "IDIOT", "basura", "crétin"]
+    words += ["a", "house", "you-idiot", "no.", "said:", "kill!", "trash,", "x1y", "###", "42", "?", "pas;"]
+    texts = [" ".join(draw.choice(words) for _ in range(draw.randint(0, 60))) for _ in range(400)]
+    texts += [None, "", " \n\t", "idiot" * 40_000, "you " * 90_000 + "idiot", "not\u00a0an idiot", "ÉTÉ kill"] + texts[:5]
+    df = spark.createDataFrame([(i, t, 9) for i, t in enumerate(texts)], "doc_id long, text string, predicted int")
+    got = {r.doc_id: r for r in toxicity.score(df, model).collect()}
+    for i, text in enumerate(texts):
+        want = _plain_score(text, stems, weights, -0.7)
+        assert got[i].score == pytest.approx(want, abs=1e-9), text and text[:200]
+        assert got[i].predicted == int(got[i].score >= 0.5)
+
+
+def test_long_words_are_not_remembered():
+    codes = toxicity._Codes(toxicity.Grammar())
+    assert codes["idiot"] == toxicity.INSULT and codes["b" * 500_000 + "!"] == 8
+    assert list(codes) == ["idiot"]
+
+
+def test_more_stems_than_ever_asked_for():
+    # Each of 300 stems explains ten rows of its own.
+    present = [([k], 1) for k in range(300) for _ in range(10)] + [([], 0)] * 50
+    stems = [f"s{k:03}" for k in range(300)]
+    assert sorted(toxicity.choose_stems(present, stems)) == stems
+
+
 def test_weights_separate():
     rng = np.random.default_rng(1)
     x = rng.standard_normal((400, 3))
