@@ -114,7 +114,7 @@ def _cell(k: int):
     def score(cell: pa.Table) -> pa.Table:
         asks = cell["is_query"].to_numpy().astype(bool)
         ids, rows = cell["vec_id"].to_numpy(), cell["row"].to_numpy()
-        vectors = np.floor(padded_matrix(cell["terms"]))
+        vectors = padded_matrix(cell["terms"])
         scores = cell_scores(vectors[~asks], vectors[asks]).T
         own = {r: i for i, r in enumerate(rows[~asks])}
         for i, r in enumerate(rows[asks]):
@@ -160,13 +160,15 @@ def exact_top_k(
     beyond doubles takes no part.
     """
     scaled = F.transform(vector_col, lambda x: x.cast("double") * scale)
+    # Doubles that do not fit a long are whole already; whole ones shuffle smaller.
+    whole = lambda x: F.when(F.abs(x) < 2.0**62, F.floor(x).cast("double")).otherwise(x)
     usable = vectors.where(
         finite_vector(vector_col)
         & ~F.exists(scaled, lambda x: F.abs(x) == F.lit(math.inf))
         & F.col(id_col).isNotNull()
     ).select(
         F.col(id_col).cast("long").alias("vec_id"),
-        scaled.alias("terms"),
+        F.transform(scaled, whole).alias("terms"),
         F.coalesce(query, F.lit(False)).alias("asks"),
         # Only tells rows apart and deals them out; the result does not depend on it.
         F.monotonically_increasing_id().alias("row"),
