@@ -155,6 +155,39 @@ def test_stages_take_an_empty_table(spark, tmp_path, k):
     assert corpus_pipeline.STAGES[k][1](spark, docs, str(tmp_path)).count() == 0
 
 
+def test_stages_with_repeated_rows_long_texts_and_clashing_names(spark, tmp_path):
+    _table(spark, tmp_path)
+    long = " ".join(f"w{k}" for k in range(150_000))
+    calm = ["a first calm line of words", "and quite another one here", None, "", " \n"]
+    rows = [(i, t, "en", s) for i, (t, s) in enumerate(zip(calm, ["a", "b", None, "a", "b"], strict=True))]
+    rows += [rows[0]] * 3 + [(None, "no id has this text", "en", None)] * 2 + [(50, long, "en", "a"), (51, long + " end", "en", "a")]
+    clash = ("score", "predicted", "kept", "size", "chosen", "component", "text_hash", "position", "start", "id", "key")
+    kinds = "doc_id long, text string, lang string, source string, n_chars long, " + ", ".join(f"`{c}` string" for c in clash)
+    docs = spark.createDataFrame([(*r, len(r[1] or ""), *clash) for r in rows], kinds).repartition(2)
+    texts = {}
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, docs, str(tmp_path))
+        assert out.dtypes == docs.dtypes
+        assert out.where(" OR ".join(f"coalesce(`{c}`, '') <> '{c}'" for c in clash)).count() == 0
+        texts[name] = sorted(((r.doc_id, r.text) for r in out.collect()), key=str)
+    given = [(r[0], r[1]) for r in rows]
+    # No label belongs to a toxic one here, and nothing in them is.
+    assert texts["toxicity"] == sorted(given, key=str)
+    one = [(0, calm[0]), (1, calm[1]), (2, None), (None, "no id has this text"), (None, "no id has this text"), (50, long)]
+    assert texts["simhash near-dedup"] == sorted(one, key=str)
+    cut = {**dict(given), 2: "", 51: " end"}
+    assert texts["suffix-array dedup"] == sorted(((i, cut[i]) for i, _ in given), key=str)
+    read = texts["mixing"]
+    assert {t for _, t in read} and all((t or "").strip() for _, t in read)
+    # Words taken, over all sources, are the words given.
+    assert sum(len(t.split()) for _, t in read) == sum(len((t or "").split()) for _, t in given)
+    tokens = corpus_pipeline.tokenize(spark, docs, "").collect()
+    assert len(tokens) == len(rows)
+    empty = hashlib.sha256(b"").hexdigest()
+    assert [r.decoded_sha256 for r in tokens if r.doc_id in (2, 3)] == [empty, empty]
+    assert {r.decoded_sha256 for r in tokens if r.doc_id == 50} == {hashlib.sha256(long.encode()).hexdigest()}
+
+
 def test_one_row_of_a_component_stays_where_ids_repeat(spark):
     rows = [
         (1, "alpha beta gamma delta"), (1, "ALPHA beta gamma delta"), (1, "ALPHA beta gamma delta"),
