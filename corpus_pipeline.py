@@ -26,7 +26,15 @@ def _unpacked(df: DataFrame, columns: list[str], *used: str) -> DataFrame:
 
 
 def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the clause grammar predicts to be toxic go."""
+    """Documents that the clause grammar predicts to be toxic go.
+
+    The model is learned from the labels of the documents given. Texts are
+    judged whole, however long; a null or empty one has no clause that matches
+    and is judged by that. Repeated rows and rows without an id are judged one
+    by one, equal texts alike. No labels, or labels of one kind, leave the
+    grammar with its starting words; an empty table gives no rows. All columns
+    pass, whatever their names.
+    """
     model = toxicity.learn(docs, table(spark, sf_dir, "labels"))
     scored = toxicity.score(_packed(docs, "doc_id", "text"), model)
     return _unpacked(scored.where("predicted = 0"), docs.columns, "doc_id", "text")
@@ -41,7 +49,10 @@ def keep_one_of_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: st
     """Of each SimHash component one row stays: of smallest id, then of smallest text hash.
 
     A row that repeats id and text stays once; rows without an id stay, as
-    nothing tells which of them stands for which.
+    nothing tells which of them stands for which. Null, empty and wordless
+    texts share the fingerprint zero, so one of them stays, a null text before
+    others of its id. Texts are read whole, however long; an empty table gives
+    no rows. All columns pass, whatever their names.
     """
     hashed = docs.select("doc_id", "text", _text_hash(F.col("text")).alias("text_hash"))
     rows = simhash.row_components(hashed, columns=("text_hash",)).where("id IS NOT NULL")
@@ -57,7 +68,14 @@ def keep_one_of_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: st
 
 
 def remove_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Bytes of passages that an earlier document holds go; characters cut in two go whole."""
+    """Bytes of passages that an earlier document holds go; characters cut in two go whole.
+
+    Every row stays, a text that was all repeats as the empty one; a null text
+    becomes empty too. Rows of one id are one document and are cut alike; rows
+    without an id come after all others. Texts are compared whole, however
+    long; an empty table gives no rows. ``n_chars`` is counted anew, the other
+    columns pass, whatever their names.
+    """
     cut = suffix_dedup.remove_repeats(_packed(docs, "doc_id", "text", "n_chars"), columns=("others",))
     whole = cut.withColumn("text", F.col("kept").cast("string"))
     counted = whole.withColumn("n_chars", F.char_length("text").cast("long"))
@@ -65,7 +83,15 @@ def remove_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The mix in training order: a row per reading, the last of a source cut where its target is reached."""
+    """The mix in training order: a row per reading, the last of a source cut where its target is reached.
+
+    Texts without words (null, empty, white space) are never read and have no
+    row. Documents of one source come in the order of their id's hash, then id
+    (null first), then size, and repeated rows are documents of their own. A
+    null source is a source of its own. Very long texts are read and cut like
+    any other; an empty table gives no rows. ``n_chars`` is counted anew, the
+    other columns pass, whatever their names.
+    """
     used = ("doc_id", "source", "text", "n_chars")
     plan = mixing.plan_mix(_packed(docs, *used), keep=("text", "others"))
     read = mixing.training_order(plan, "text")
@@ -73,7 +99,12 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token count and digests of every text that is read."""
+    """Token count and digests of every text that is read.
+
+    A null text counts as empty, which has no tokens; texts are encoded whole,
+    however long; repeated rows and null ids give rows of their own; an empty
+    table gives no rows. Only the id is kept of the other columns.
+    """
     return bpe.round_trip(docs, bpe.load_codec(RANKS, public_tokenizers.PATTERN))
 
 
