@@ -24,6 +24,24 @@ _EMAIL_SCAN = r"(?<![a-zA-Z0-9._%+-])" + EMAIL_PATTERN
 _WORD = r"[\p{L}\p{N}_-]"
 
 
+# Each sign that would break a line, and the backslash, as a backslash and a letter.
+_BREAKS = (("\\", "\\s"), ("\n", "\\n"), ("\r", "\\r"))
+
+
+def escape_breaks(text: Column) -> Column:
+    """The text on one line; ``restore_breaks`` gives it back."""
+    for raw, code in _BREAKS:
+        text = F.replace(text, F.lit(raw), F.lit(code))
+    return text
+
+
+def restore_breaks(text: Column) -> Column:
+    """What ``escape_breaks`` was given. The backslash comes last, so that it starts no new code."""
+    for raw, code in reversed(_BREAKS):
+        text = F.replace(text, F.lit(code), F.lit(raw))
+    return text
+
+
 def email(text: Column) -> Column:
     """First e-mail address in the text, null when there is none."""
     return F.regexp_substr(text, F.lit(_EMAIL_SCAN))

@@ -11,6 +11,8 @@ from contextvars import ContextVar
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from citeloom.functions.text import restore_breaks
+
 
 def shared_folder(spark: SparkSession) -> str:
     """Folder every executor can reach, from ``spark.checkpoint.dir``.
@@ -71,23 +73,32 @@ def write_stage(df: DataFrame, path: str) -> DataFrame:
 
 
 def read_staged_csv(
-    spark: SparkSession, path: str, columns: list[str], array_columns: tuple[str, ...] = ()
+    spark: SparkSession,
+    path: str,
+    columns: list[str],
+    array_columns: tuple[str, ...] = (),
+    line_breaks: str = "keep",
 ) -> DataFrame:
-    """Read a staged CSV; the named list columns become arrays again."""
+    """Read a staged CSV; the named list columns become arrays again.
+
+    Values may hold line breaks, so a file is read by one task, unless it was
+    written with ``line_breaks="escape"`` and is read so: then files are split.
+    """
     rows = spark.read.csv(
         path,
         schema=", ".join(f"`{c}` string" for c in columns),
         header=True,
         quote='"',
         escape='"',
-        multiLine=True,
+        multiLine=line_breaks == "keep",
         nullValue="",
         ignoreLeadingWhiteSpace=False,
         ignoreTrailingWhiteSpace=False,
     )
+    value = (lambda c: restore_breaks(F.col(c))) if line_breaks == "escape" else F.col
     return rows.select(
         *(
-            F.from_json(c, "array<string>").alias(c) if c in array_columns else F.col(c)
+            F.from_json(value(c), "array<string>").alias(c) if c in array_columns else value(c).alias(c)
             for c in columns
         )
     )

@@ -127,6 +127,26 @@ def test_stamp():
     assert run_path("/x/", run_stamp(when)) == "/x/processed_article_data_2024-03-05_07-08-09"
 
 
+def test_staged_csv_with_escaped_breaks_is_read_in_splits(spark, tmp_path):
+    texts = ["two\nlines", "a\r\nb\r", "back\\slash", "\\n is no break", "\\", "\\s\\\n", 'say "x",\ny', " kept ", None, "plain"]
+    rows = [(i, texts[i % len(texts)], [texts[i % len(texts)], "z"], None if i % 3 else []) for i in range(4000)]
+    df = spark.createDataFrame(rows, "id int, t string, l array<string>, e array<string>").coalesce(1)
+    path = write_csv(df, str(tmp_path / "p"), line_breaks="escape")
+    part, = glob.glob(f"{path}/*.csv")
+    with open(part, newline="") as f:
+        assert f.read().count("\n") == len(rows) + 1
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "20000")
+    try:
+        back = read_staged_csv(spark, path, ["id", "t", "l", "e"], ("l", "e"), "escape")
+        assert back.rdd.getNumPartitions() > 1
+        got = sorted((int(r.id), r.t, r.l, r.e) for r in back.collect())
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert got == rows
+    with pytest.raises(ValueError):
+        write_csv(df, str(tmp_path / "q"), line_breaks="drop")
+
+
 def test_csv_text(spark, tmp_path, capsys):
     df = spark.createDataFrame(
         [(2, 'say "hi", ok', ["it's", 'q"', "both'\"", None, "a\\b"]), (1, None, []), (3, " x ", None)],

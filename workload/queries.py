@@ -365,8 +365,8 @@ def pipeline_staged(spark, sf_dir):
 
 def csv_round_trip(spark, sf_dir):
     rows = flatten(_parsed(spark, sf_dir))
-    path = write_csv(rows, new_stage_path(spark, "csv"))
-    back = read_staged_csv(spark, path, rows.columns, ("keyword_list", "mesh_list"))
+    path = write_csv(rows, new_stage_path(spark, "csv"), line_breaks="escape")
+    back = read_staged_csv(spark, path, rows.columns, ("keyword_list", "mesh_list"), "escape")
     return _lists_as_text(back)
 
 
