@@ -22,9 +22,9 @@ STEM_LETTERS = range(3, 11)
 #: Words after a negation that it covers.
 NEGATION_REACH = 3
 #: Tokens remembered by a worker before it starts anew, and the letters of a token worth it.
-REMEMBERED_TOKENS, REMEMBERED_LETTERS = 400_000, 64
-#: Characters read at a time, and stems sent at a time.
-PART, STEM_ROWS = 1 << 20, 1 << 16
+REMEMBERED_TOKENS, REMEMBERED_LETTERS = 100_000, 64
+#: Characters read at a time, stems sent at a time, stems counted before they are sent, texts scored at a time.
+PART, STEM_ROWS, COUNTED_STEMS, SCORED_ROWS = 1 << 20, 1 << 16, 1 << 17, 1 << 10
 
 # Starting words of the classes, in English, German, French and Spanish.
 INSULTS = (
@@ -239,23 +239,31 @@ def _stem_counts(training: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen, toxic = Counter(), Counter()
+
+        def sent() -> Iterator[pa.RecordBatch]:
+            # A stem may be toxic in another task, so all are sent.
+            stems = iter(seen)
+            while some := list(islice(stems, STEM_ROWS)):
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array(some),
+                        pa.array([seen[s] for s in some], pa.int64()),
+                        pa.array([toxic[s] for s in some], pa.int64()),
+                    ],
+                    ["stem", "seen", "toxic"],
+                )
+
         for batch in batches:
             for text, label in zip(batch.column(0), batch.column(1), strict=True):
                 found = _beginnings(text.as_py())
                 seen.update(found)
                 if label.as_py():
                     toxic.update(found)
-        # A stem may be toxic in another task, so all are sent.
-        stems = iter(seen)
-        while some := list(islice(stems, STEM_ROWS)):
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(some),
-                    pa.array([seen[s] for s in some], pa.int64()),
-                    pa.array([toxic[s] for s in some], pa.int64()),
-                ],
-                ["stem", "seen", "toxic"],
-            )
+                if len(seen) >= COUNTED_STEMS:
+                    yield from sent()
+                    seen.clear()
+                    toxic.clear()
+        yield from sent()
 
     counted = training.select("text", "toxic").mapInArrow(run, "stem string, seen long, toxic long")
     return counted.groupBy("stem").agg(F.sum("seen").alias("seen"), F.sum("toxic").alias("toxic"))
@@ -394,22 +402,26 @@ def score(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
     kept = [c for c in docs.columns if c not in ("score", "predicted")]
-    at = len(kept)
+    wide = len(kept)
+    # The text is sent once, unless it is a column that is overwritten.
+    at = kept.index(text_col) if text_col in kept else wide
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = shared.value
         codes = _Codes(own.grammar)
-        for batch in batches:
-            texts = batch.column(at)
-            x = np.array([own.grammar.features(t.as_py() or "", codes) for t in texts])
-            found = own.scores(x) if len(x) else np.zeros(0)
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:at], pa.array(found), pa.array((found >= 0.5).astype(np.int32))],
-                names=[*(f"c{k}" for k in range(at)), "score", "predicted"],
-            )
+        for whole in batches:
+            for start in range(0, whole.num_rows, SCORED_ROWS):
+                batch = whole.slice(start, SCORED_ROWS)
+                x = np.array([own.grammar.features(t.as_py() or "", codes) for t in batch.column(at)])
+                found = own.scores(x)
+                yield pa.RecordBatch.from_arrays(
+                    [*batch.columns[:wide], pa.array(found), pa.array((found >= 0.5).astype(np.int32))],
+                    names=[*(f"c{k}" for k in range(wide)), "score", "predicted"],
+                )
 
     inner = docs.select(
-        *(F.col(f"`{c}`").alias(f"c{k}") for k, c in enumerate(kept)), F.col(text_col).alias("read")
+        *(F.col(f"`{c}`").alias(f"c{k}") for k, c in enumerate(kept)),
+        *([] if at < wide else [F.col(text_col).alias("read")]),
     )
     kinds = ", ".join(f"c{k} {docs.schema[c].dataType.simpleString()}" for k, c in enumerate(kept))
     return inner.mapInArrow(run, f"{kinds}, score double, predicted int").toDF(*kept, "score", "predicted")

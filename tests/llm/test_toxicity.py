@@ -176,3 +176,22 @@ def test_score_keeps_columns(spark):
     out = toxicity.score(df, toxicity.default_model())
     assert out.columns == ["doc_id", "text", "tags", "score", "predicted"]
     assert out.first().tags == ["x"]
+
+
+def test_stems_are_sent_before_they_are_many(spark, monkeypatch):
+    rows = [(f"grumfel{chr(97 + k % 26)} {chr(97 + k % 26) * 5}", int(k % 4 == 0)) for k in range(60)]
+    training = spark.createDataFrame(rows, "text string, toxic int").coalesce(1)
+    wanted = {tuple(r) for r in toxicity._stem_counts(training).collect()}
+    monkeypatch.setattr(toxicity, "COUNTED_STEMS", 20)
+    assert {tuple(r) for r in toxicity._stem_counts(training).collect()} == wanted
+
+
+def test_the_text_is_sent_once_and_scored_in_parts(spark, monkeypatch):
+    texts = ["you idiot", None, "", "a calm day", "they said you are scum"] * 3
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string")
+    model = toxicity.default_model()
+    wanted = toxicity.score(docs, model).orderBy("doc_id").collect()
+    monkeypatch.setattr(toxicity, "SCORED_ROWS", 2)
+    got = toxicity.score(docs, model)
+    assert got.orderBy("doc_id").collect() == wanted
+    assert "AS read" not in got._jdf.queryExecution().analyzed().toString()
