@@ -2,9 +2,10 @@ import datetime as dt
 import pathlib
 
 import pytest
+from pyspark.sql.readwriter import DataFrameWriter
 
 from citeloom.sources.drops import latest_path
-from citeloom.sources.records import record_at, scan_records
+from citeloom.sources.records import first_records, record_at, scan_records
 from workload import view
 
 DAY = dt.datetime(1996, 2, 3)
@@ -69,3 +70,26 @@ def test_the_newest_drop_is_found_among_packed_files(spark, tables, tmp_path):
     view.record_files(spark, tables, str(tmp_path / "drops/early"))
     assert latest_path(spark, str(tmp_path / "drops"), view.RECORD_FILES).endswith(".txt.gz")
     assert len(_texts(scan_records(spark, late))) == 250
+
+
+def test_nation_files_shuffle_keys_and_render_behind_that(spark, tables, tmp_path, monkeypatch):
+    plans, text = [], DataFrameWriter.text
+
+    def noted(self, path, **options):
+        plans.append(self._df._jdf.queryExecution().optimizedPlan().toString())
+        return text(self, path, **options)
+
+    monkeypatch.setattr(DataFrameWriter, "text", noted)
+    view.record_files_by_nation(spark, tables, str(tmp_path / "keys"))
+    (plan,) = plans
+    # Parents are printed first.
+    assert plan.index("</PubmedArticle>") < plan.index("RepartitionByExpression")
+
+
+def test_positions_are_numbered_without_the_text(spark, tables, tmp_path):
+    path = view.record_files_by_nation(spark, tables, str(tmp_path / "narrow"))
+    found = first_records(spark, path, 2)
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    below = plan[plan.index("Window [") :].split("Project [", 1)[1].split("\n")[0]
+    assert "value#" not in below
+    assert found.count() == 6 and {r["ordinal"] for r in found.collect()} == {0, 1}
