@@ -4,8 +4,10 @@ import pathlib
 import pytest
 from pyspark.sql.readwriter import DataFrameWriter
 
+from citeloom.operators.row_index import with_row_index
 from citeloom.sources.drops import latest_path
-from citeloom.sources.records import first_records, record_at, scan_records
+from citeloom.sources.records import first_records, record_at, scan_records, with_ordinal
+from citeloom.sources.staged import write_stage
 from workload import view
 
 DAY = dt.datetime(1996, 2, 3)
@@ -93,3 +95,17 @@ def test_positions_are_numbered_without_the_text(spark, tables, tmp_path):
     below = plan[plan.index("Window [") :].split("Project [", 1)[1].split("\n")[0]
     assert "value#" not in below
     assert found.count() == 6 and {r["ordinal"] for r in found.collect()} == {0, 1}
+
+
+def test_stages_are_packed_and_places_of_parts_are_broadcast(spark, tables, tmp_path):
+    path = view.record_files(spark, tables, str(tmp_path / "records"))
+    write_stage(spark.range(5).toDF("n"), str(tmp_path / "stage"))
+    assert list((tmp_path / "stage").glob("*.zstd.parquet"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for df in (with_ordinal(scan_records(spark, path)), with_row_index(spark.range(50).toDF("n"), "n")):
+            plan = df._jdf.queryExecution().executedPlan().toString()
+            assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+            assert df.count() in (50, 500)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
