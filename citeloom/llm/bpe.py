@@ -5,8 +5,8 @@ from __future__ import annotations
 import hashlib
 import re
 from collections.abc import Callable, Iterable, Iterator
-from heapq import heapify, heappop, heappush
-from itertools import chain
+from heapq import heapify, heappop, heappush, heapreplace
+from itertools import chain, pairwise, product
 
 import pyarrow as pa
 import regex
@@ -23,8 +23,12 @@ REMEMBERED, REMEMBERED_OTHERS = 300_000, 30_000
 PART = 1 << 20
 _MASK = (1 << 64) - 1
 #: Letters in every version of Unicode in use.
-_LETTERS = re.compile("[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]+").fullmatch
+_LETTER = "[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]"
+_LETTERS = re.compile(f"{_LETTER}+").fullmatch
+#: A word of them and the punctuation behind it.
+_ENDED = re.compile(f"( ?{_LETTER}+)([!-/:-@[-`{{-~]+)").fullmatch
 _WHITE_BEFORE_SPACE = [chr(c) + " " for c in range(0x3001) if chr(c).isspace()]
+_ASCII_BEFORE_SPACE = [w for w in _WHITE_BEFORE_SPACE if w.isascii()]
 
 
 def _spread(digest: int, seed: int) -> int:
@@ -93,6 +97,7 @@ class Merges:
 
     def __init__(self, ranks: dict[bytes, int]) -> None:
         self.single = [ranks[bytes([b])] for b in range(256)]
+        self.first = [ranks.get(bytes(pair)) for pair in product(range(256), repeat=2)]
         self.shift = max(ranks.values()).bit_length()
         self.pairs = {
             ranks[piece[:k]] << self.shift | ranks[piece[k:]]: rank
@@ -102,19 +107,22 @@ class Merges:
         }
 
     def ids(self, word: bytes) -> tuple[int, ...]:
-        get, shift = self.pairs.get, self.shift
+        get, shift, first = self.pairs.get, self.shift, self.first
         part: list = [*map(self.single.__getitem__, word)]
         n = len(part)
-        rank_at: list = [*map(get, [a << shift | b for a, b in zip(part, part[1:])]), None]
+        # The pairs of bytes are looked up by the bytes, all later ones by their ids.
+        rank_at: list = [first[a << 8 | b] for a, b in pairwise(word)]
+        rank_at.append(None)
         bits = n.bit_length()
         low = (1 << bits) - 1
         heap = [rank << bits | i for i, rank in enumerate(rank_at) if rank is not None]
         heapify(heap)
         after, before = list(range(1, n + 1)), list(range(-1, n - 1))
         while heap:
-            entry = heappop(heap)
+            entry = heap[0]
             i, rank = entry & low, entry >> bits
             if rank_at[i] != rank:
+                heappop(heap)
                 continue
             j = after[i]
             k = after[i] = after[j]
@@ -123,9 +131,12 @@ class Merges:
             if k < n:
                 before[k] = i
                 found = get(rank << shift | part[k])
-                if found is not None:
-                    heappush(heap, found << bits | i)
             rank_at[i] = found
+            # The merged entry is still on top: the new one takes its place.
+            if found is None:
+                heappop(heap)
+            else:
+                heapreplace(heap, found << bits | i)
             k = before[i]
             if k >= 0:
                 found = rank_at[k] = get(part[k] << shift | rank)
@@ -143,7 +154,7 @@ class Codec:
         self.pattern = pattern
         self.merges = Merges(ranks)
         self.whole = PerfectHash(ranks)
-        self.names = {i: str(i) for i in ranks.values()}
+        self.names = {i: str(i).encode() for i in ranks.values()}
         self.pieces = {i: piece for piece, i in ranks.items()}
         self._ready()
 
@@ -151,8 +162,10 @@ class Codec:
         self.find = regex.compile(self.pattern).findall
         self.apart = regex.compile(r"(?<=\S)(?= )", flags=regex.V1).split
         # A word of letters is a pre-token where only apostrophes may come before it in the pattern.
-        first = next((a for a in self.pattern.split("|") if not a.startswith("'")), "")
-        self.letters = first == r" ?\p{L}+"
+        others = [a for a in self.pattern.split("|") if not a.startswith("'")]
+        self.letters = others[:1] == [r" ?\p{L}+"]
+        # No letter follows the apostrophes of punctuation that ends a stretch.
+        self.marks = others[:3] == [r" ?\p{L}+", r" ?\p{N}+", r" ?[^\s\p{L}\p{N}]+"]
         self.ids_of = _Stretches(self, lambda ids: ids, lambda parts: tuple(chain.from_iterable(parts)))
         self.texts_of = _Stretches(self, self._texts, _joined_texts)
 
@@ -170,7 +183,7 @@ class Codec:
         return self.merges.ids(data) if known is None else (known,)
 
     def _texts(self, ids: tuple[int, ...]) -> tuple[bytes, bytes]:
-        return ",".join(map(self.names.__getitem__, ids)).encode(), self.decode(ids)
+        return b",".join(map(self.names.__getitem__, ids)), self.decode(ids)
 
     def encode(self, text: str) -> Iterator[list[int]]:
         """Ids of the whole text, some 10^5 to 10^6 at a time."""
@@ -225,6 +238,10 @@ class _Stretches:
         """What is made of a stretch, from its pre-tokens."""
         if self.codec.letters and _LETTERS(text, text[:1] == " "):
             return self.made(self.codec.piece(text))
+        ended = _ENDED(text) if self.codec.marks else None
+        if ended:
+            word, marks = ended.groups()
+            return self.joined([self._token(word), self.others[marks]])
         tokens = self.codec.find(text)
         if len(tokens) == 1:
             return self.made(self.codec.piece(text)) if tokens[0] == text else self.others[tokens[0]]
@@ -237,7 +254,8 @@ class _Stretches:
 
     def each(self, part: str) -> list:
         spaced = self.spaced.__getitem__
-        if part[:1] == " " or any(white in part for white in _WHITE_BEFORE_SPACE):
+        whites = _ASCII_BEFORE_SPACE if part.isascii() else _WHITE_BEFORE_SPACE
+        if part[:1] == " " or any(white in part for white in whites):
             return [spaced(s[1:]) if s[:1] == " " else self.of(s) for s in self.codec.apart(part)]
         first, *rest = part.split(" ")  # every space begins a stretch
         return [self.of(first), *map(spaced, rest)]

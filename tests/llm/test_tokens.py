@@ -48,6 +48,20 @@ def test_parts_change_nothing(codec, expected, monkeypatch):
         assert [i for part in small.encode(text) for i in part] == expected.encode_ordinary(text)
 
 
+def test_words_that_punctuation_ends_are_cut_without_the_pattern(codec, expected):
+    draw = random.Random(5)
+    ends = [".", ",", "'", "'.", "...", "!?", '"', "'s", "'s.", "\u2019", "9.", ""]
+    words = ["the", "Esores", "zz\u00e9qu", "don't", "x"]
+    text = " ".join(draw.choice(words) + draw.choice(ends) for _ in range(2000))
+    assert [i for part in codec.encode(text) for i in part] == expected.encode_ordinary(text)
+    own = pickle.loads(pickle.dumps(codec))
+    own.find = None
+    text = "Zzqu, esores. zzesores!? the..."
+    assert [i for part in own.encode(text) for i in part] == expected.encode_ordinary(text)
+    other = bpe.Codec(read_ranks(RANKS), r"\p{L}+[.]| ?\p{L}+|[^\p{L}]+|\s+")
+    assert not other.marks
+
+
 def test_perfect_hash_is_minimal():
     table = {f"key{i}".encode(): i for i in range(5000)}
     index = bpe.PerfectHash(table)
