@@ -109,3 +109,22 @@ def test_stages_are_packed_and_places_of_parts_are_broadcast(spark, tables, tmp_
             assert df.count() in (50, 500)
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+@pytest.mark.parametrize("name", ["country_by_join", "country_word_list"])
+def test_texts_and_rows_are_read_from_the_same_shuffles(spark, tables, name):
+    from workload.queries import QUERIES
+
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        tagged = QUERIES[name](spark, tables)
+        rows = tagged.collect()
+        plan = tagged._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert len(rows) == 900 and {r["country"] for r in rows} > {"Guinea", None}
+    final = plan.split("== Initial Plan ==")[0]
+    assert "ReusedExchange" in final
+    scans = [line for line in final.splitlines() if "FileScan" in line or "Scan parquet" in line]
+    assert not any(c in line for line in scans for c in ("l_shipdate", "p_brand", "p_type", "o_orderpriority"))
