@@ -254,3 +254,17 @@ def test_stage_is_read_back(spark, tmp_path):
 
 def test_scan_of_a_folder(spark, drop):
     assert scan_records(spark, drop).count() == 3
+
+
+def test_tags_that_need_the_row_only_are_made_behind_the_join(spark):
+    from citeloom.plans.pipeline import EVENT_DRIVEN, enrich
+
+    row = ("1", "grid.0", "Dept, Lake University, Japan 12345. a@b.com")
+    flat = spark.createDataFrame([row, ("2", None, None)], "pmid string, identity string, affiliation string")
+    names = spark.createDataFrame([("grid.1", "Lake University", 0)], "grid_id string, name string, ordinal long")
+    rows = enrich(flat, names, None, options=EVENT_DRIVEN)
+    assert rows.columns == [*flat.columns, "author_email", "zipcode", "country", "institutions", "grid_institutions"]
+    got = {r["pmid"]: tuple(r)[1:2] + tuple(r)[3:] for r in rows.collect()}
+    assert got["1"] == ("grid.0", "a@b.com", "12345", "Japan", "Lake University", "Lake University")
+    above, below = rows._jdf.queryExecution().optimizedPlan().toString().split("Join LeftOuter", 1)
+    assert all(c in above and c not in below for c in ("author_email", "zipcode", "country"))
