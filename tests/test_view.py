@@ -1,5 +1,6 @@
 import datetime as dt
 import pathlib
+import re
 
 import pytest
 from pyspark.sql.readwriter import DataFrameWriter
@@ -128,3 +129,23 @@ def test_texts_and_rows_are_read_from_the_same_shuffles(spark, tables, name):
     assert "ReusedExchange" in final
     scans = [line for line in final.splitlines() if "FileScan" in line or "Scan parquet" in line]
     assert not any(c in line for line in scans for c in ("l_shipdate", "p_brand", "p_type", "o_orderpriority"))
+
+
+def test_lines_are_shuffled_for_their_orders_and_parts_only(spark, tables):
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    # As where the suppliers' files are above the threshold.
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = view.records(spark, tables)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    keys = re.findall(r"Exchange hashpartitioning\((l_\w+)#", plan)
+    assert sorted(keys) == ["l_orderkey", "l_partkey"]
+
+
+def test_records_of_a_supplier_are_neighbours_in_a_file(spark, tables, tmp_path):
+    path = view.record_files(spark, tables, str(tmp_path / "files"))
+    suppliers = r"ror\.(\d+)"
+    for files in spark.read.text(path, wholetext=True).collect():
+        found = [int(s) for s in re.findall(suppliers, files["value"])]
+        assert found == sorted(found)
