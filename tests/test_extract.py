@@ -329,3 +329,40 @@ def test_positions_are_found_without_numbering_all_records(spark, tmp_path):
             plan.select("*").collect()
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+def test_records_that_cannot_hold_a_looked_up_author_are_not_parsed(spark):
+    person = "<LastName>{}</LastName><ForeName>{}</ForeName><AffiliationInfo><Identifier Source='GRID'>{}</Identifier></AffiliationInfo>"
+    written = [
+        ("Lee", "Ann", "g.1"),
+        ("L&#101;e", "Ann", "g.1"),
+        ("L<![CDATA[ee]]>", "A<!-- x -->nn", "g<![CDATA[.1]]>"),
+        ("Lee<?note?>", "Ann", "g&#x2E;1"),
+        ("Lee<sup>1</sup>", "Ann", "g.1<i>2</i>"),
+        ("R&amp;D", "Tom &lt;b&gt;", "g.2"),
+        ("Roe", "Tom", "g.11"),
+        ("Roe", "Tom", ""),
+    ]
+    texts = [
+        f"<PubmedArticle><MedlineCitation><PMID>{i}</PMID><Article><AuthorList><Author>{person.format(*p)}</Author>"
+        "</AuthorList></Article></MedlineCitation></PubmedArticle>"
+        for i, p in enumerate(written)
+    ] + ["<PubmedArticle>Lee Ann g.1", None]
+    raw = spark.createDataFrame([(t, i) for i, t in enumerate(texts)], "record string, block int")
+
+    def people(chosen):
+        return extract.authors(extract.articles(chosen, fields=("pmid", "authors_info")))
+
+    def pmids(found):
+        return sorted(r.pmid for r in found.collect())
+
+    by_id = lookup.may_hold(raw, "g.1")
+    assert {r.block for r in by_id.collect()} == {0, 1, 2, 3, 4, 6, 8}
+    assert pmids(lookup.authors_by_identity(people(by_id), "g.1")) == ["0", "1", "2", "3", "4"]
+    assert pmids(lookup.authors_by_identity(people(raw), "g.1")) == ["0", "1", "2", "3", "4"]
+    by_name = lookup.may_hold_name(raw, "Ann B Lee")
+    assert {r.block for r in by_name.collect()} == {0, 1, 2, 3, 4, 8}
+    assert pmids(lookup.authors_by_name(people(by_name), "Ann B Lee")) == ["0", "1", "2", "3", "4"]
+    assert pmids(lookup.authors_by_name(people(raw), "Ann B Lee")) == ["0", "1", "2", "3", "4"]
+    # Texts that may be written in several ways leave all records.
+    assert lookup.may_hold(raw, "R&D").count() == len(texts)
