@@ -105,6 +105,12 @@ def test_run_options(spark, drop, dictionaries):
         assert row.grid_institutions == "Harbor University"
 
 
+def test_run_latest_packs_its_result(spark, drop, dictionaries, tmp_path):
+    path = pipeline.run_latest(spark, drop, str(tmp_path / "out"), *dictionaries, index_order=("pmid",), compression="gzip")
+    assert glob.glob(f"{path}/*.csv.gz") and not glob.glob(f"{path}/*.csv")
+    assert spark.read.csv(path, header=True, multiLine=True, escape='"').count() == 3
+
+
 def test_run_latest_writes_stamped_csv(spark, drop, dictionaries, tmp_path):
     path = pipeline.run_latest(spark, drop, str(tmp_path / "out"), *dictionaries)
     assert os.path.basename(path).startswith("processed_article_data_2")
@@ -147,6 +153,18 @@ def test_staged_csv_with_escaped_breaks_is_read_in_splits(spark, tmp_path):
         write_csv(df, str(tmp_path / "q"), line_breaks="drop")
 
 
+def test_packed_csv_is_read_back(spark, tmp_path):
+    rows = [(i, None if i % 7 == 0 else f'say "{i % 5}",\n y', ["a\n", None]) for i in range(3000)]
+    df = spark.createDataFrame(rows, "id int, t string, l array<string>").repartition(3)
+    plain = write_csv(df, str(tmp_path / "plain"))
+    size = lambda path: sum(map(os.path.getsize, glob.glob(f"{path}/part-*")))
+    for breaks in ("keep", "escape"):
+        path = write_csv(df, str(tmp_path / breaks), line_breaks=breaks, compression="gzip")
+        assert len(glob.glob(f"{path}/*.csv.gz")) == 3 and size(path) < size(plain) / 4
+        back = read_staged_csv(spark, path, ["id", "t", "l"], ("l",), breaks)
+        assert sorted((int(r.id), r.t, r.l) for r in back.collect()) == rows
+
+
 def test_csv_text(spark, tmp_path, capsys):
     df = spark.createDataFrame(
         [(2, 'say "hi", ok', ["it's", 'q"', "both'\"", None, "a\\b"]), (1, None, []), (3, " x ", None)],
